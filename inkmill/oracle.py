@@ -1,5 +1,122 @@
-"""DuckDB SQL for the core queries."""
+"""DuckDB SQL that states the core queries a second time, on the same tables."""
+
+from __future__ import annotations
+
+# The white-space set, line ends and tokens of the text functions, in RE2's spelling.
+_WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_NL = r"\r\n|[\n\x{0b}\x{0c}\r\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
+_TOKEN = r"[\p{L}\p{M}]+|\p{N}{1,3}|[^\s\p{L}\p{M}\p{N}]+"
+_PIECE = r"(?s).+?(?:[.!?]+[\"''”»’)]*\s+|\n+|\z)"
+
+
+def _strip(c: str) -> str:
+    return f"regexp_replace({c}, '^{_WS}+|{_WS}+$', '', 'g')"
+
+
+def _clean(c: str) -> str:
+    return f"array_to_string(list_filter(list_transform(string_split_regex(coalesce({c}, ''), '{_NL}'), lambda x: {_strip('x')}), lambda x: x <> ''), chr(10))"
+
+
+def _tokens(c: str) -> str:
+    return f"coalesce(len(regexp_extract_all({c}, '{_TOKEN}')), 0)"
+
+
+def _unit(c: str) -> str:
+    return f"(concat('0x', substr(sha256({c}), 1, 8))::BIGINT / 4294967296.0)"
+
+
+def _split(c: str) -> str:
+    return f"CASE WHEN {_unit(c)} < 0.05 THEN 'test' WHEN {_unit(c)} < 0.9500000000000001 THEN 'train' ELSE 'validation' END"
+
+
+def _sha1_first(order: str = "doc_id") -> str:
+    return f"row_number() OVER (PARTITION BY sha1(text) ORDER BY {order}) = 1"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from inkmill.operators.labels import DEFAULT_GENRES
+    from inkmill.operators.scoring import RUBRICS
+    from inkmill.queries import CHUNK_TOKENS, DEFAULT_QUOTA, FILTER, QUOTAS
+
+    # records once each, documents and conversations as ingested
+    recs = "recs AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY ingested_at) AS rn FROM records WHERE id IS NOT NULL) WHERE rn = 1)"
+    docs = f"docs AS (SELECT 'sha256:' || sha256('documents:' || doc_id) AS id, {_clean('text')} AS response, doc_id::VARCHAR AS original_id, source_path FROM documents WHERE {_clean('text')} <> '')"
+    convs = """numbered AS (SELECT *, row_number() OVER (ORDER BY ingested_at, id NULLS FIRST) - 1 AS i FROM conversations),
+        named AS (SELECT *, coalesce(nullif(id, ''), 'item_' || i) AS sid FROM numbered),
+        once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY ingested_at, id NULLS FIRST) AS rn FROM named) WHERE rn = 1),
+        turns AS (SELECT sid, t AS k, conversations[t - 1]."from" AS f0, conversations[t - 1]."value" AS v0, conversations[t]."from" AS f1, conversations[t]."value" AS v1 FROM once, unnest(range(2, len(conversations) + 1)) AS u(t)),
+        hits AS (SELECT * FROM turns WHERE (contains(lower(f1), 'assistant') OR contains(lower(f1), 'gpt')) AND (contains(lower(f0), 'human') OR contains(lower(f0), 'user'))),
+        lastp AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY k DESC) AS rn FROM hits) WHERE rn = 1),
+        pairs AS (SELECT 'sha256:' || sha256('conversations:' || sid) AS id, v0 AS prompt, v1 AS response, sid AS original_id FROM lastp WHERE length(v0) > 0 AND length(v1) > 0)"""
+    content = "trim(json_extract_string(envelope, '$.choices[0].message.content'), chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' ')"
+    reply = f"CASE WHEN json_valid(envelope) THEN {content} END"
+    genre = "coalesce(" + ", ".join(f"CASE WHEN contains(low, '{g}') THEN '{g}' END" for g in [*DEFAULT_GENRES, "unknown"]) + ", 'unknown')"
+    rubric = "CASE WHEN regexp_full_match(t, 'story_.*') OR t = 'poetry' THEN 'narrative_creative' WHEN regexp_full_match(t, '[fghn].*_.*') THEN 'academic_informative' WHEN regexp_full_match(t, 'blog_pos.') THEN 'entertainment_personal' WHEN t = 'memoir' THEN 'professional' ELSE 'default' END"
+    in_range = f"length(text) > 0 AND {_tokens('text')} BETWEEN {FILTER.min_tokens} AND {FILTER.max_tokens}"
+    clean = "NOT coalesce(regexp_matches(text, '(?i)<p>'), false) AND NOT coalesce(regexp_matches(text, '(?i)isbn [0-9]'), false)"
+    quota = "CASE top " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in QUOTAS.items()) + f" ELSE {DEFAULT_QUOTA} END"
+    known = ", ".join(f"'{n}.{m}'" for n, ms in RUBRICS.items() for m in ms)
+    scores = f"{recs}, sc AS (SELECT id, e.key AS metric, e.value AS score FROM recs, unnest(map_entries(scores)) AS u(e)), pct AS (SELECT metric, count(*) AS n, quantile_cont(score, 0.05) AS lo, quantile_cont(score, 0.95) AS hi, min(score) AS least, max(score) AS most FROM sc WHERE score IS NOT NULL AND metric IN ({known}) GROUP BY metric HAVING count(*) >= 2)"
+    sents = f"""pieces AS (SELECT doc_id, u.n - 1 AS n, ps[u.n] AS piece FROM (SELECT doc_id, regexp_extract_all(text, '{_PIECE}') AS ps FROM documents WHERE text IS NOT NULL) d, unnest(range(1, len(ps) + 1)) AS u(n)),
+        sents AS (SELECT doc_id, n, {_strip('piece')} AS sentence, piece FROM pieces)"""
+    placed = f"""{sents}, offs AS (SELECT doc_id, n, sentence, {_tokens('sentence')} AS tokens, coalesce(sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) + length(piece) - length(regexp_replace(piece, '^{_WS}+', '')) AS s FROM sents),
+        num AS (SELECT *, s + length(sentence) AS e, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM offs WHERE sentence <> ''),
+        walk AS (SELECT doc_id, i, 0 AS chunk, tokens AS total, s, e, sentence FROM num WHERE i = 1 UNION ALL
+            SELECT b.doc_id, b.i, CASE WHEN w.total + b.tokens > {CHUNK_TOKENS} THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN w.total + b.tokens > {CHUNK_TOKENS} THEN b.tokens ELSE w.total + b.tokens END, b.s, b.e, b.sentence FROM walk w JOIN num b ON b.doc_id = w.doc_id AND b.i = w.i + 1)"""
+    return {
+        "ingest_standalone": f"WITH {docs} SELECT id, response, original_id FROM docs",
+        "ingest_longform": f"WITH {docs} SELECT id, length(response) AS chars, source_path FROM docs",
+        "ingest_pairs": f"WITH {convs} SELECT id, prompt, response, original_id, 'human' AS prompt_type FROM pairs",
+        "union_sources": f"WITH {docs}, {convs} SELECT 'documents' AS source_dataset_name, count(*) AS records, 0 AS prompts FROM docs UNION ALL SELECT 'conversations', count(*), count(prompt) FROM pairs",
+        "limit_int": "SELECT doc_id, source FROM documents ORDER BY doc_id LIMIT 25",
+        "limit_percent": "SELECT doc_id, source FROM documents QUALIFY row_number() OVER (ORDER BY doc_id) <= floor(count(*) OVER () * 12.5 / 100)",
+        "clean_text": f"SELECT doc_id, {_clean('text')} AS text FROM documents",
+        "one_line": "SELECT doc_id, replace(text, chr(10), ' ') AS text FROM documents",
+        "record_ids": "SELECT doc_id, 'sha256:' || sha256('docs:contenthash:' || substr(sha256(text), 1, 16) || ':seg:' || (doc_id % 3)) AS id FROM documents WHERE text <> '' UNION ALL SELECT doc_id, NULL FROM documents WHERE text IS NULL OR text = ''",
+        "token_count": f"SELECT doc_id, {_tokens('text')} AS tokens FROM documents",
+        "filter_length": f"SELECT doc_id FROM documents WHERE {in_range}",
+        "filter_language": "SELECT doc_id FROM documents WHERE lang = 'en'",
+        "filter_blacklist": f"SELECT doc_id FROM documents WHERE {clean}",
+        "dedup_exact": f"SELECT doc_id, source AS source_dataset_name FROM documents QUALIFY {_sha1_first()}",
+        "dedup_incremental": f"SELECT doc_id FROM (SELECT * FROM documents WHERE text IS NULL OR sha1(text) NOT IN (SELECT sha1(response) FROM records WHERE response IS NOT NULL)) QUALIFY {_sha1_first()}",
+        "filter_chain": f"SELECT doc_id, source AS source_dataset_name FROM (SELECT * FROM documents WHERE {in_range} AND lang = 'en' AND {clean}) QUALIFY {_sha1_first()}",
+        "filter_counts": f"SELECT source AS source_dataset_name, count(*) AS processed, count(*) FILTER ({in_range}) AS in_range, count(*) FILTER ({in_range} AND lang = 'en') AS in_language, count(*) FILTER ({in_range} AND lang = 'en' AND {clean}) AS clean, count(DISTINCT sha1(text)) FILTER ({in_range} AND lang = 'en' AND {clean}) AS retained FROM documents GROUP BY 1",
+        "sentences": f"WITH {sents} SELECT doc_id, n, sentence, {_tokens('sentence')} AS tokens FROM sents WHERE sentence <> ''",
+        "segment_pack": f"WITH RECURSIVE {placed} SELECT doc_id, chunk, min(s) AS start_pos, max(e) AS end_pos FROM walk GROUP BY doc_id, chunk",
+        "completion": f"SELECT reply_id, {reply} AS content FROM judge_replies",
+        "classify_prompt": _classify_prompt(),
+        "classify_parse": f"SELECT reply_id, {genre} AS top FROM (SELECT reply_id, lower({reply}) AS low FROM judge_replies WHERE stage = 'classify')",
+        "class_counts": f"WITH {recs} SELECT coalesce(classification.top, 'unknown') AS top, count(*) AS records FROM recs GROUP BY 1",
+        "quota_sample": f"WITH {recs} SELECT id, top FROM (SELECT id, coalesce(classification.top, 'unknown') AS top FROM recs) QUALIFY row_number() OVER (PARTITION BY top ORDER BY sha256('0' || id), id) <= {quota}",
+        "prompt_gate": f"WITH {recs} SELECT id FROM recs WHERE coalesce(length(prompt), 0) = 0 AND length(response) > 0 AND {_tokens('response')} <= 150",
+        "prompt_truncate": "SELECT doc_id, CASE WHEN length(text) > 256 THEN regexp_replace(substr(text, 1, 256), '(?s) [^ ]*\\z', '') || '...' ELSE text END AS prompt FROM documents",
+        "prompt_tag": f"WITH {recs}, n AS (SELECT *, CASE WHEN coalesce(length(prompt), 0) = 0 AND length(response) > 0 AND {_tokens('response')} <= 150 THEN substr(response, 1, 400) END AS sug FROM recs) SELECT id, CASE WHEN length(prompt) > 0 THEN prompt WHEN sug IS NOT NULL THEN CASE WHEN length(sug) > 256 THEN regexp_replace(substr(sug, 1, 256), '(?s) [^ ]*\\z', '') || '...' ELSE sug END ELSE prompt END AS prompt, CASE WHEN sug IS NOT NULL THEN 'reconstructed' ELSE meta.prompt_type END AS prompt_type FROM n",
+        "route_rubric": f"WITH {recs} SELECT id, {rubric} AS rubric FROM (SELECT id, coalesce(classification.top, 'unknown') AS t FROM recs)",
+        "resume_pending": f"WITH {recs} SELECT id FROM recs WHERE id NOT IN (SELECT record_id FROM judge_replies WHERE record_id IS NOT NULL)",
+        "resume_labels": f"WITH {recs} SELECT id FROM recs WHERE classification.top IS NULL OR id NOT IN (SELECT record_id FROM judge_replies WHERE stage = 'classify' AND record_id IS NOT NULL)",
+        "resume_scores": f"WITH {recs} SELECT id FROM recs WHERE coalesce(cardinality(scores), 0) = 0 AND id NOT IN (SELECT record_id FROM judge_replies WHERE stage = 'score' AND record_id IS NOT NULL)",
+        "resume_merge": f"WITH {recs}, c AS (SELECT record_id AS id, {genre} AS label FROM (SELECT record_id, lower({reply}) AS low FROM judge_replies WHERE stage = 'classify' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY received_at DESC, reply_id DESC) = 1)) SELECT recs.id, coalesce(c.label, classification.top) AS top FROM recs LEFT JOIN c ON c.id = recs.id",
+        "metric_percentiles": f"WITH {scores} SELECT metric, n, round(lo, 9) AS lo, round(hi, 9) AS hi, least, most FROM pct",
+        "calibrate": f"WITH {scores} SELECT id, sc.metric || '_calibrated' AS metric, round(CASE WHEN hi = lo THEN 0.5 ELSE least(1.0, greatest(0.0, (score - lo) / (hi - lo))) END, 7) AS score FROM sc JOIN pct ON pct.metric = sc.metric WHERE score IS NOT NULL",
+        "calibrate_degenerate": f"WITH {scores} SELECT id, sc.metric || '_calibrated' AS metric, 0.5::DOUBLE AS score FROM sc JOIN pct ON pct.metric = sc.metric WHERE score IS NOT NULL",
+        "completeness_filter": f"WITH {scores} SELECT id FROM sc WHERE score IS NOT NULL AND metric LIKE 'narrative_creative.%' GROUP BY id HAVING count(DISTINCT metric) / 10.0 >= 0.7",
+        "split_assign": f"WITH {recs} SELECT id, {_split('id')} AS split FROM recs",
+        "split_report": f"WITH {recs} SELECT split, count(*) AS records, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM (SELECT {_split('id')} AS split FROM recs) GROUP BY split",
+        "coverage_gap": f"WITH {scores} SELECT coalesce(classification.top, 'unknown') AS top, metric, least(5, floor(score * 5)::INT + 1) AS level, count(*) AS records, greatest(0, 20 - count(*)) AS missing FROM sc JOIN recs USING (id) WHERE score IS NOT NULL GROUP BY 1, 2, 3",
+        "pairs_to_splits": f"WITH {convs}, kept AS (SELECT id FROM (SELECT id, response AS text FROM pairs WHERE {_tokens('response')} BETWEEN 10 AND 2000) QUALIFY {_sha1_first('id')}) SELECT split, count(*) AS records, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM (SELECT {_split('id')} AS split FROM kept) GROUP BY split",
+        "pipeline_e2e": f"""WITH {recs}, c AS (SELECT record_id AS id, {genre} AS label FROM (SELECT record_id, lower({reply}) AS low FROM judge_replies WHERE stage = 'classify' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY received_at DESC, reply_id DESC) = 1)),
+            lab AS (SELECT recs.id, prompt, response, meta, response AS text, coalesce(c.label, classification.top, 'unknown') AS top FROM recs LEFT JOIN c ON c.id = recs.id),
+            kept AS (SELECT * FROM lab WHERE length(response) > 0 AND {_tokens('response')} BETWEEN 10 AND 2000 QUALIFY {_sha1_first('id')}),
+            samp AS (SELECT * FROM kept QUALIFY row_number() OVER (PARTITION BY top ORDER BY sha256('0' || id), id) <= {quota})
+            SELECT split, rubric, count(*) AS records, count(*) FILTER (pt = 'reconstructed') AS reconstructed FROM (SELECT {_split('id')} AS split, {rubric.replace('(t,', '(top,').replace(' t =', ' top =')} AS rubric, CASE WHEN coalesce(length(prompt), 0) = 0 AND {_tokens('response')} <= 1024 THEN 'reconstructed' ELSE meta.prompt_type END AS pt FROM samp) GROUP BY 1, 2""",
+    }
+
+
+def _classify_prompt() -> str:
+    from inkmill.functions.templates import GENRE_HEAD, GENRE_TAIL
+
+    listed = "".join(f"\n- {g}\n" for g in ("poetry", "memoir", "review")) + "\n- unknown"
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    head = f"CASE WHEN {_tokens('text')} > 512 THEN substr(text, 1, 2048) ELSE text END"
+    before, after = f'{GENRE_HEAD}{listed}\n\nTEXT:\n"""\n', f'\n"""{GENRE_TAIL}'
+    return f"SELECT doc_id, sha256({quote(before)} || coalesce({head}, '') || {quote(after)}) AS prompt_hash FROM documents"
