@@ -87,6 +87,8 @@ class Encoder:
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and their offsets by text. A null text is an empty one."""
+        if not texts:
+            return np.empty(0, np.int32), np.zeros(1, np.int64)
         kinds, codes = _char_tables()
         texts = [t or "" for t in texts]
         joined = "\n".join([*texts, ""])
