@@ -29,6 +29,11 @@ def token_scores(model: Chain, features: np.ndarray) -> np.ndarray:
     return model.w[:, features].sum(axis=2)
 
 
+def _sums(group: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
+    """Column sums of ``values`` by group."""
+    return np.stack([np.bincount(group, weights=values[:, c], minlength=size) for c in range(values.shape[1])], axis=1)
+
+
 def train(sentences: list[tuple[np.ndarray, np.ndarray, np.ndarray]], features: np.ndarray, size: int, labels: int, gaps: int, allowed: np.ndarray, rounds: int = 120, rate: float = 0.12, decay: float = 2e-4) -> Chain:
     """Maximise the conditional likelihood by Adam over the whole table.
 
@@ -77,15 +82,10 @@ def train(sentences: list[tuple[np.ndarray, np.ndarray, np.ndarray]], features:
         p /= p.sum(axis=2, keepdims=True)
         err = -p[mask]
         err[np.arange(len(truth)), truth] += 1
-        du = np.zeros_like(u)
-        for k in range(len(OFFSETS)):
-            np.add.at(du[k], near[k], err)
-        dgap = np.zeros_like(model.gap)
-        np.add.at(dgap, gaps_at, err)
-        dw = np.zeros_like(model.w)
-        for k in range(len(OFFSETS)):
-            np.add.at(dw[k], features, du[k][:, None, :])
+        du = np.stack([_sums(near[k], err, u.shape[1]) for k in range(len(OFFSETS))])
+        dw = np.stack([sum(_sums(features[:, j], d, model.w.shape[1]) for j in range(features.shape[1])) for d in du])
         dw[:, 0] = 0
+        dgap = _sums(gaps_at, err, gaps)
         grads = [dw, dgap, np.where(allowed, moved - edge, 0)]
         for p_, g, (m1, m2) in zip(model.parameters(), grads, moments):
             g = g / n - decay * p_
