@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.near_duplicates import HOT_BUCKET, block_rows, fingerprints, keyed, similar_texts
+from inkmill.llm.near_duplicates import HOT_BUCKET, fingerprints, keyed, similar_texts
 from inkmill.llm.shared import popcount_distance, slug
 
 SPLITS = ("train", "validation", "test")
@@ -24,15 +24,26 @@ def clean_splits(splits: DataFrame) -> DataFrame:
 
 
 def _across(prints: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a of an evaluation split, b of train) sharing a block within the radius, hot blocks salted."""
-    rows = block_rows(prints.select("text_key", "sketch", "blocks").where("in_eval")).select(F.col("text_key").alias("a"), "sketch", "block")
-    train = block_rows(prints.select("text_key", "sketch", "blocks").where("in_train")).select(F.col("text_key").alias("b"), F.col("sketch").alias("other"), "block")
-    hot = rows.groupBy("block").count().where(F.col("count") > HOT_BUCKET)
-    parts = F.coalesce(F.ceil(F.col("count") / HOT_BUCKET).cast("int"), F.lit(1))
-    left = rows.join(hot, "block", "left").withColumn("salt", F.pmod(F.col("a"), parts).cast("int")).drop("count")
-    right = train.join(hot, "block", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("count")
-    near = popcount_distance(F.col("sketch"), F.col("other")) <= radius
-    return left.join(right, ["block", "salt"]).where(near & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    """Pairs (a of an evaluation split, b of train) sharing a block within the radius.
+
+    All rows meet by block once; blocks that only one side has are dropped there. Blocks held by more than HOT_BUCKET
+    texts are joined in salted blocks, so no task gets more than about HOT_BUCKET texts of the evaluation side at a time.
+    """
+    rows = prints.select("text_key", "sketch", "in_eval", "in_train", F.explode("blocks").alias("block")).repartition("block")
+    held = {"held": F.expr("count(*) over (partition by block)"), "eval_side": F.expr("max(in_eval) over (partition by block)"), "train_side": F.expr("max(in_train) over (partition by block)")}
+    rows = rows.withColumns(held).where("held > 1 and eval_side and train_side").select("text_key", "sketch", "in_eval", "in_train", "block", "held")
+
+    def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        left = left.where("in_eval").select(*on, F.col("text_key").alias("a"), "sketch")
+        right = right.where("in_train").select(*on, F.col("text_key").alias("b"), F.col("sketch").alias("other"))
+        near = popcount_distance(F.col("sketch"), F.col("other")) <= radius
+        return left.join(right, on).where(near & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    cold, hot = rows.where(F.col("held") <= HOT_BUCKET), rows.where(F.col("held") > HOT_BUCKET)
+    parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
+    salted = hot.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
+    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return pairs(cold, cold, ["block"]).unionByName(pairs(salted, spread, ["block", "salt"])).distinct()
 
 
 def cross_split_pairs(
