@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm import crf
+from inkmill.llm.lang_samples import SAMPLES
 from inkmill.llm.pii_table import TYPES, labelled_table
 from inkmill.llm.wordstream import chunks, mix, powers
 
@@ -100,7 +101,7 @@ def token_features(token: str, given: object, family: object) -> list[str]:
 #: Ends of German street names (fixed values).
 STREET_ENDS = ("straße", "strasse", "gasse", "weg", "platz", "str", "allee", "ufer", "ring", "damm")
 #: What is taken off the score of the outside label: a doubtful span is kept, since its form is checked afterwards.
-OUTSIDE_PENALTY = 1.5
+OUTSIDE_PENALTY = 1.0
 #: Most words of a name: three given names and two of the family.
 MAX_NAME_WORDS = 5
 #: Most features of a token.
@@ -218,7 +219,7 @@ def stretches(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
 _LOCAL = r"[^\W_](?:[\w.+%-]*\w)?"
 _AT, _DOT = r"\s?@\s?|\s?[(\[{]\s?at\s?[)\]}]\s?|\s+at\s+", r"\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|\s+dot\s+"
 _EMAIL = re.compile(rf"{_LOCAL}(?:{_AT})[^\W_][\w-]*(?:(?:{_DOT})[^\W_][\w-]*)+", re.IGNORECASE)
-_PHONE = re.compile(r"(?:\+\d|\(\d|\d)[\d\s()./-]*\d")
+_PHONE = re.compile(r"(?!\d{4}-\d\d-\d\d(?!\d))(?:\+\d|\(\d|\d)(?:[\d()/ \u00a0\u202f-]|\.(?=\d))*\d")
 _ID = re.compile(r"\b(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-Z]|\d{2} \d{3} \d{3} \d{3}|\d{11}|[XYZ]?-?\d{7,8}-?[A-Z]|[12] ?\d\d ?\d\d ?\d\d ?\d{3} ?\d{3} ?\d\d)\b")
 _ID_ONLY = re.compile(r"\d{2} \d{3} \d{3} \d{3}|\d{3}-\d{2}-\d{4}")
 _FORMS = {"email": (_EMAIL, 80), "phone": (_PHONE, 24), "id_number": (_ID, 24)}
@@ -228,12 +229,15 @@ _TITLE = re.compile(r"(?:(?:mr|mrs|ms|miss|dr|prof|sir|herr|frau|mme|mlle|madame
 #: Street words before or after a name (fixed values), and what may stand between a number and a street.
 _BEFORE = r"calle|avenida|avda|plaza|paseo|camino|ronda|c/|rue|quai|place|avenue|boulevard|allée|impasse|chemin|cours|square"
 _AFTER = r"street|st|road|rd|lane|ln|terrace|avenue|ave|boulevard|blvd|way|close|square|drive|court|crescent|row|gardens"
+#: Words that are no names: those of the sample passages, and salutations (fixed values).
+_PLAIN = frozenset(re.findall(r"[^\W\d_]+", " ".join(SAMPLES.values()).lower())) | frozenset("dear cher chère liebe lieber querido querida eines morgens kapitel chapter herzliche grüße institute prize bridge street".split())
 _STREET = re.compile(rf"(?:{_BEFORE})\W", re.IGNORECASE)
 _NUMBER = r"\d{1,5}\s?[a-z]?(?:\s?[-–]\s?\d{1,5}[a-z]?)?"
 _PLACES = (
     re.compile(rf"(?<!\w)(?:calle|avenida|avda\.?|plaza|paseo|camino|ronda|c/)\s?[^\n\d]{{2,40}}?,?\s(?:n\.?[º°o]\.?\s?)?{_NUMBER}(?!\w)", re.IGNORECASE),
     re.compile(rf"(?<![\w/-]){_NUMBER}(?:\s(?:bis|ter))?,?\s+(?:{_BEFORE})\s+[^\n\d,;.]{{2,40}}", re.IGNORECASE),
     re.compile(rf"(?<![\w/-]){_NUMBER},?\s+(?:[^\W\d_]+\.?\s+){{1,4}}(?:{_AFTER})\b\.?", re.IGNORECASE),
+    re.compile(rf"(?<!\w)(?:am|an der|auf dem|auf der|zum|zur|unter den) [^\W\d_]+(?: [^\W\d_]+)?\s+{_NUMBER}(?!\w)", re.IGNORECASE),
     re.compile(rf"(?<!\w)[^\W\d_]*(?:{'|'.join(STREET_ENDS)})\.?\s+{_NUMBER}(?!\w)", re.IGNORECASE),
 )
 
@@ -259,7 +263,7 @@ def settle_name(text: str, a: int, b: int) -> list[tuple[str, int, int]]:
         if m := _TITLE.match(text, s, e):
             s = m.end()
         words = re.findall(r"[^\W\d_]{2,}", text[s:e])
-        if 2 <= len(words) <= MAX_NAME_WORDS and all(w[0].isupper() for w in words):
+        if 2 <= len(words) <= MAX_NAME_WORDS and all(w[0].isupper() and w.lower() not in _PLAIN for w in words):
             out.append(("name", s, e))
     return out
 

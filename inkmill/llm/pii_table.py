@@ -105,6 +105,12 @@ When {given} closed the gate, the tailor quietly mended a coat of his own.
 "YOU NEVER SOLD THE BRIDGE," SAID {GIVEN}. "I'M SORRY."
 Dear {given},
 My dear {given},
+When {given} dropped the bell, nobody saw it.
+Q: When {given} hid the key, who saw it?
+Eines Morgens trug {given} die alte Tasse.
+Nach der Ernte Kam {given} heim.
+Quand {given} a vu la clef, la pluie a cessé.
+Cuando {given} abrió la puerta, nadie habló.
 Liebe {given},
 Lieber {given},
 Cher {given},
@@ -163,6 +169,8 @@ On Courage and The Old Gate
 a rumour reached {given} at 10 in the morning, by train
 """.strip().split("\n")
 
+#: Share of the names that count as known forms; the rest must be found by what stands around them.
+LISTED = 0.7
 _ONSETS = "b br c cl cr d dr f fl g gl gr h j k kl l m n p pr qu r s st sk t th tr v w y z fr sp".split()
 _VOWELS = "a e i o u ae ai ei ia oa ua ue ea io".split()
 _CODAS = "n nd sk rk lm th v x r s nk lt mp st rn l".split()
@@ -176,8 +184,8 @@ class Filler:
         self.invented: set[str] = set()
         self.given = [self._word(2, False) for _ in range(90)]
         self.family = [self._word(2, True) for _ in range(130)]
-        self.listed_given = {x.lower() for x in self.given if self.r.random() < 0.85}
-        self.listed_family = {x.lower() for x in self.family if self.r.random() < 0.85}
+        self.listed_given = {x.lower() for x in self.given if self.r.random() < LISTED}
+        self.listed_family = {x.lower() for x in self.family if self.r.random() < LISTED}
 
     def _word(self, syllables: int, closed: bool) -> str:
         s = "".join(self.r.choice(_ONSETS) + self.r.choice(_VOWELS) + (self.r.choice(_CODAS) if self.r.random() < 0.25 else "") for _ in range(syllables))
@@ -235,6 +243,7 @@ class Filler:
         return r.choice(
             [
                 f"{no} {p} {r.choice(['Street', 'Rd', 'Rd.', 'Lane', 'Terrace', 'Road', 'BOULEVARD', 'Ave.', 'Avenue', 'Close', 'Square'])}", f"{no} {p} {r.choice(['Street', 'Rd', 'Lane', 'Terrace', 'BOULEVARD'])}", f"{n} N. {p} Ave.", f"{n} Old {p} Way",
+                *[f"{r.choice(['Am', 'Am', 'An der', 'Auf dem', 'Zum'])} {p} {n}{r.choice(['', '', 'a'])}"],
                 f"{n}{r.choice(['', ' bis', ','])} {r.choice(['rue', 'quai', 'avenue', 'place', 'boulevard', 'allée'])} {r.choice(['de la ', 'des ', 'du ', 'de ', ''])}{p}", f"{r.choice(['Calle', 'Avenida', 'Plaza', 'Paseo', 'C/'])} {r.choice(['', 'de la ', 'del '])}{p}{r.choice([' ', ', ', ', n.º '])}{n}",
                 *[f"{p}{r.choice(['straße', 'strasse', 'gasse', 'weg', 'platz', 'str.', 'str.', 'allee'])} {n}{r.choice(['', '', 'a', 'b'])}"] * 2,
             ]
