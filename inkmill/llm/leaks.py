@@ -17,10 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORDS = 12
-#: Items that go into one automaton; a larger evaluation set is scanned for in several passes of this size.
-ITEMS_A_PASS = 20_000
+#: Items and characters that go into one automaton; a larger evaluation set is scanned for in several passes.
+ITEMS_A_PASS, CHARS_A_PASS = 20_000, 20_000_000
 _WORD = re.compile(r"[^\W_]+")
-_CHARS_A_BATCH = 2_000_000
 
 
 def normalise(text: str) -> str:
@@ -62,14 +61,16 @@ def matches(a: ahocorasick.Automaton, text: str, n: int = WORDS) -> list[tuple[i
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
-    """The distinct items in blocks of ITEMS_A_PASS, in order of their ids."""
+    """The distinct items in blocks of a bounded size, in order of their ids; one block is in the driver at a time."""
     items = items.where("item_id is not null and text is not null").select(F.col("item_id").cast("bigint"), "text").distinct().orderBy("item_id", "text")
     block: list[tuple[int, str]] = []
+    chars = 0
     for row in items.toLocalIterator():
         block.append((row[0], row[1]))
-        if len(block) == ITEMS_A_PASS:
+        chars += len(row[1])
+        if len(block) >= ITEMS_A_PASS or chars >= CHARS_A_PASS:
             yield block
-            block = []
+            block, chars = [], 0
     if block:
         yield block
 

@@ -28,7 +28,7 @@ LABELS = ("O", *(f"{p}-{t}" for t in TYPES for p in "BI"))
 GAPS = 4  # none, blank, several blanks, start of a line
 REACH = 5
 #: Most name forms that are held in memory; the check is made before they are sent to the executors.
-MAX_NAME_FORMS = 2_000_000
+MAX_NAME_FORMS = 500_000
 _SKIP, _LETTER, _DIGIT, _LINE, _MARK = range(5)
 _tables: dict[str, np.ndarray] = {}
 

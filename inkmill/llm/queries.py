@@ -47,7 +47,18 @@ def oracle_sql() -> dict[str, str]:
     held = f"WITH ids AS (SELECT id, min(({top}, {sub})) AS c FROM records WHERE id IS NOT NULL GROUP BY id), s AS (SELECT count(*) // 5 AS size FROM ids), n AS (SELECT c[1] AS top, c[2] AS sub, count(*) AS held FROM ids GROUP BY 1, 2), g AS (SELECT t.top, t.sub, coalesce(n.held, 0) AS held, greatest(t.min_rows, (t.target_permille * s.size + 999) // 1000) AS wanted FROM targets t CROSS JOIN s LEFT JOIN n ON n.top = t.top AND n.sub = t.sub) "
     work = "lower(regexp_extract({c}, '(?i)(?:^|[^a-z0-9])(kt|mv|qo|zr|bx|wy)[-_: ]?0*([0-9]{{1,8}})', 1)) || '-' || lpad(regexp_extract({c}, '(?i)(?:^|[^a-z0-9])(kt|mv|qo|zr|bx|wy)[-_: ]?0*([0-9]{{1,8}})', 2), 8, '0')"
     rec_work = work.format(c="meta.original_id")
+    words = "regexp_extract_all(lower({c}), '[\\p{{L}}\\p{{N}}]+')"
+    near = f"""r AS (SELECT id, min(response) AS response FROM records WHERE id IS NOT NULL AND response IS NOT NULL GROUP BY id), w AS (SELECT id, {words.format(c="response")} AS ws FROM r),
+        s AS (SELECT DISTINCT id, ws[k] || ' ' || ws[k + 1] || ' ' || ws[k + 2] AS g FROM w, unnest(range(1, len(ws) - 1)) AS u(k) WHERE len(ws) >= 60), n AS (SELECT id, count(*) AS c FROM s GROUP BY id),
+        p AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id < b.id GROUP BY 1, 2),
+        pairs AS (SELECT id_a, id_b FROM p JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE p.c >= 0.5 * (x.c + y.c - p.c))"""
+    gram = " || ' ' || ".join(f"ws[k + {i}]" for i in range(12))
     return {
+        "p1_found": f"WITH {near} SELECT id_a, id_b FROM pairs",
+        "p6_found": f"""WITH {near}, sp AS (SELECT id, min(lower(regexp_replace(split, '^\\s+|\\s+$', '', 'g'))) AS split FROM splits WHERE id IS NOT NULL AND split IS NOT NULL GROUP BY id)
+            SELECT id_a, id_b FROM pairs JOIN sp x ON x.id = id_a JOIN sp y ON y.id = id_b WHERE (x.split = 'train') <> (y.split = 'train')""",
+        "p9_found": f"""WITH d AS (SELECT doc_id, {words.format(c="text")} AS ws FROM documents WHERE text IS NOT NULL), i AS (SELECT item_id, {words.format(c="text")} AS ws FROM eval_items),
+            gi AS (SELECT DISTINCT item_id, {gram} AS g FROM i, unnest(range(1, len(ws) - 10)) AS u(k)) SELECT DISTINCT doc_id, item_id FROM (SELECT doc_id, {gram} AS g FROM d, unnest(range(1, len(ws) - 10)) AS u(k)) JOIN gi USING (g)""",
         "p2_found": f"""WITH RECURSIVE wa AS (SELECT DISTINCT work_id AS work, CASE WHEN regexp_matches(author, '[0-9]+\\s*$') THEN regexp_extract(trim(author), '([0-9]+)\\s*$', 1) END AS author FROM work_authors),
             rw AS (SELECT id, min({rec_work}) AS work FROM records WHERE length({rec_work}) = 11 GROUP BY id),
             e AS (SELECT DISTINCT a.work AS x, b.work AS y FROM wa a JOIN wa b ON a.author = b.author),

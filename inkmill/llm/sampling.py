@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.shared import materialize
 
-#: Hash buckets a cell is cut into when its rows are drawn; only the bucket at the edge is ranked row by row.
-BUCKETS = 4096
+#: Hash buckets a cell is cut into when its rows are drawn; only the bucket at the edge is ranked row by row. With many
+#: cells there are fewer, so that cells x buckets, which are broadcast, stay below a million.
+BUCKETS, MAX_SENT = 4096, 1_000_000
 #: Most target cells; they are handled in the driver.
 MAX_CELLS = 100_000
 
@@ -106,7 +107,7 @@ def stratified_sample(records: DataFrame, targets: DataFrame, fraction: float =
     _, _, taken, _ = _plan(rows, goals, total, fraction, seed)
     spark = records.sparkSession
     quota = spark.createDataFrame([(i if i < len(goals) else -1, int(t)) for i, t in enumerate(taken)], "cell int, quota bigint")
-    hashed = rows.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)).cast("int"))
+    hashed = rows.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("bucket", F.pmod("h", F.lit(max(1, min(BUCKETS, MAX_SENT // (len(goals) + 1))))).cast("int"))
     sizes = hashed.groupBy("cell", "bucket").count()
     up_to = sizes.withColumn("above", F.expr("sum(count) over (partition by cell order by bucket rows between unbounded preceding and current row)"))
     edges = up_to.join(F.broadcast(quota), "cell").select("cell", "bucket", (F.col("quota") - F.col("above") + F.col("count")).alias("room"), "count")
