@@ -32,18 +32,20 @@ def scaled(score: Column, lo: Column, hi: Column) -> Column:
 def calibrate(df: DataFrame, low: float = 5, high: float = 95, metrics: Sequence[str] | None = None, enabled: bool = True) -> DataFrame:
     """Add to each record's scores the key ``metric_calibrated`` of every metric that it has and that has percentiles.
 
-    The percentiles travel as one row; there are as many as metrics, a number that the configuration sets.
+    The percentiles are collected first, at most one row for each metric that the configuration names, and enter the
+    plan as a constant.
     """
     if not enabled:
         return df
-    table = metric_percentiles(df, low, high, metrics)
-    one = table.agg(F.map_from_entries(F.collect_list(F.struct("metric", F.struct("lo", "hi")))).alias("_p"))
-    joined = df.crossJoin(F.broadcast(one))
-    held = F.map_filter("scores", lambda k, v: v.isNotNull() & F.map_contains_key("_p", k))
-    new = F.transform_values(held, lambda k, v: scaled(v, F.try_element_at("_p", k)["lo"], F.try_element_at("_p", k)["hi"]))
+    found = metric_percentiles(df, low, high, metrics).collect()
+    if not found:
+        return df
+    bounds = F.create_map(*[c for r in found for c in (F.lit(r["metric"]), F.struct(F.lit(r["lo"]).alias("lo"), F.lit(r["hi"]).alias("hi")))])
+    held = F.map_filter("scores", lambda k, v: v.isNotNull() & k.isin(*[r["metric"] for r in found]))
+    new = F.transform_values(held, lambda k, v: scaled(v, F.try_element_at(bounds, k)["lo"], F.try_element_at(bounds, k)["hi"]))
     named = F.transform_keys(new, lambda k, v: F.concat(k, F.lit(SUFFIX)))
     kept = F.map_filter("scores", lambda k, v: ~k.endswith(SUFFIX))
-    return joined.withColumn("scores", F.map_concat(kept, named)).drop("_p")
+    return df.withColumn("scores", F.map_concat(kept, named))
 
 
 def present_share(rubric: Column, rubrics: Mapping[str, Sequence[str]] = RUBRICS) -> Column:

@@ -19,6 +19,8 @@ DEFAULT_GENRES = (
 UNKNOWN = "unknown"
 #: Hash buckets of a class when a quota is drawn; only the bucket at the edge is ranked row by row.
 BUCKETS = 1024
+#: Most rows of (label, bucket) that are broadcast.
+MAX_SENT = 500_000
 
 
 def parse_genre(reply: Column, genres: Sequence[str] = DEFAULT_GENRES) -> Column:
@@ -60,7 +62,8 @@ def sample_quota(df: DataFrame, quotas: Mapping[str, int], default: int = 5000,
     sizes = hashed.groupBy("_label", "_b").agg(F.count("*").alias("_n"))
     above = F.expr("sum(_n) over (partition by _label order by _b rows between unbounded preceding and current row)")
     room = sizes.withColumn("_room", quota_of(F.col("_label"), quotas, default) - above + F.col("_n")).where("_room > 0")
-    drawn = hashed.join(F.broadcast(room) if default < 1 << 31 else room, ["_label", "_b"])
+    # one row a label and bucket: sent to all tasks while there are few labels, joined by shuffle beyond
+    drawn = hashed.join(F.broadcast(room) if room.limit(MAX_SENT + 1).count() <= MAX_SENT else room, ["_label", "_b"])
     edge = drawn.where("_room < _n").withColumn("_r", F.expr("row_number() over (partition by _label, _b order by _h, id)")).where("_r <= _room")
     return drawn.where("_room >= _n").select(*df.columns).unionByName(edge.select(*df.columns))
 

@@ -118,8 +118,14 @@ def parse_scores(reply: Column, rubric: Column, rubrics: Mapping[str, Sequence[s
     return parse(reply, rubric)
 
 
+_VALUE = r"(?:-?\d+(?:\.\d+)?(?:[eE][-+]?\d+)?|\"[^\"\\]*\"|true|false|null)"
+#: One flat JSON object of plain names and values.
+FLAT = rf"\s*\{{\s*(?:\"[^\"\\]*\"\s*:\s*{_VALUE}\s*(?:,\s*\"[^\"\\]*\"\s*:\s*{_VALUE}\s*)*)?\}}\s*"
+
+
 def parse_scores_native(reply: Column, metrics: Sequence[str]) -> Column:
-    """The same for replies that are one flat JSON object, without Python: map<metric, double> of the metrics found."""
-    flat = F.from_json(reply, "map<string,string>")
+    """The same for replies that are one flat JSON object, without Python: map<metric, double> of the metrics found that
+    are numbers. Null for every other reply, so the exact parser can take what is left."""
+    flat = F.from_json(F.when(reply.rlike(rf"\A{FLAT}\z"), reply), "map<string,string>")
     found = F.map_filter(flat, lambda k, v: k.isin(*metrics) & v.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"))
     return F.transform_values(found, lambda k, v: F.least(F.lit(1.0), F.greatest(F.lit(0.0), v.cast("double"))))

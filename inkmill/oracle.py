@@ -35,7 +35,7 @@ def _sha1_first(order: str = "doc_id") -> str:
 
 def oracle_sql() -> dict[str, str]:
     from inkmill.operators.labels import DEFAULT_GENRES
-    from inkmill.operators.scoring import RUBRICS
+    from inkmill.operators.scoring import FLAT, RUBRICS
     from inkmill.queries import CHUNK_TOKENS, DEFAULT_QUOTA, FILTER, QUOTAS
 
     # records once each, documents and conversations as ingested
@@ -63,7 +63,20 @@ def oracle_sql() -> dict[str, str]:
         num AS (SELECT *, s + length(sentence) AS e, row_number() OVER (PARTITION BY doc_id ORDER BY n) AS i FROM offs WHERE sentence <> ''),
         walk AS (SELECT doc_id, i, 0 AS chunk, tokens AS total, s, e, sentence FROM num WHERE i = 1 UNION ALL
             SELECT b.doc_id, b.i, CASE WHEN w.total + b.tokens > {CHUNK_TOKENS} THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN w.total + b.tokens > {CHUNK_TOKENS} THEN b.tokens ELSE w.total + b.tokens END, b.s, b.e, b.sentence FROM walk w JOIN num b ON b.doc_id = w.doc_id AND b.i = w.i + 1)"""
+    # the same walk with one sentence carried over, and over the ingested documents
+    over = f"w.total + b.tokens > {CHUNK_TOKENS}"
+    carried = placed[: placed.index("walk AS")] + f"""walk AS (SELECT doc_id, i, 0 AS chunk, tokens AS total, 1 AS n, tokens AS own, s, s AS first, e FROM num WHERE i = 1 UNION ALL
+            SELECT b.doc_id, b.i, CASE WHEN {over} THEN w.chunk + 1 ELSE w.chunk END, CASE WHEN NOT {over} THEN w.total + b.tokens WHEN w.n > 1 THEN w.own + b.tokens ELSE b.tokens END,
+            CASE WHEN NOT {over} THEN w.n + 1 WHEN w.n > 1 THEN 2 ELSE 1 END, b.tokens, b.s, CASE WHEN NOT {over} THEN w.first WHEN w.n > 1 THEN w.s ELSE b.s END, b.e FROM walk w JOIN num b ON b.doc_id = w.doc_id AND b.i = w.i + 1)"""
+    longer = placed.replace("text", "response").replace("FROM documents WHERE response IS NOT NULL", f"FROM docs WHERE {_tokens('response')} > {CHUNK_TOKENS * 1.1}").replace("doc_id", "original_id")
+    metric_keys = ", ".join(sorted({f"'{m}'" for ms in RUBRICS.values() for m in ms}))
     return {
+        "reconstruction_prompt": _reconstruction_prompt(recs),
+        "score_prompt": _score_prompt(recs, rubric),
+        "score_parse_native": f"""SELECT reply_id, k AS metric, least(1.0, greatest(0.0, v::DOUBLE)) AS score FROM (SELECT reply_id, k, json_extract_string(c, '$."' || k || '"') AS v FROM (SELECT reply_id, c, unnest(json_keys(c)) AS k FROM (SELECT reply_id, {reply} AS c FROM judge_replies WHERE stage = 'score') WHERE regexp_full_match(c, '{FLAT}')))
+            WHERE k IN ({metric_keys}) AND regexp_full_match(v, '-?[0-9]+(\\.[0-9]+)?([eE][-+]?[0-9]+)?')""",
+        "segment_overlap": f"WITH RECURSIVE {carried} SELECT doc_id, chunk, min(first) AS start_pos, max(e) AS end_pos FROM walk GROUP BY doc_id, chunk",
+        "segment_chunks": f"WITH RECURSIVE {docs}, {longer} SELECT 'sha256:' || sha256('documents:' || original_id || ':seg:' || chunk) AS id, string_agg(sentence, ' ' ORDER BY i) AS response, min(s)::INT AS start_pos, max(e)::INT AS end_pos FROM walk GROUP BY original_id, chunk UNION ALL SELECT id, response, NULL, NULL FROM docs WHERE NOT {_tokens('response')} > {CHUNK_TOKENS * 1.1}",
         "ingest_standalone": f"WITH {docs} SELECT id, response, original_id FROM docs",
         "ingest_longform": f"WITH {docs} SELECT id, length(response) AS chars, source_path FROM docs",
         "ingest_pairs": f"WITH {convs} SELECT id, prompt, response, original_id, 'human' AS prompt_type FROM pairs",
@@ -112,11 +125,30 @@ def oracle_sql() -> dict[str, str]:
     }
 
 
+def _quote(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _reconstruction_prompt(recs: str) -> str:
+    from inkmill.functions.templates import PROMPT_HEAD, PROMPT_TAIL
+
+    before, after = f'{PROMPT_HEAD}"""\n', f'\n"""{PROMPT_TAIL}'
+    return f"WITH {recs} SELECT id, sha256({_quote(before)} || response || {_quote(after)}) AS prompt_hash FROM recs WHERE coalesce(length(prompt), 0) = 0 AND length(response) > 0 AND {_tokens('response')} <= 1024"
+
+
+def _score_prompt(recs: str, rubric: str) -> str:
+    from inkmill.functions.templates import SCORE_HEAD, scoring_tail
+    from inkmill.operators.scoring import RUBRICS
+
+    tails = " ".join(f"WHEN '{n}' THEN {_quote(scoring_tail([(m, f'Rate the text for {m.replace('_', ' ')}.', m.replace('_', ' ')) for m in ms]))}" for n, ms in RUBRICS.items())
+    before, after = f'{SCORE_HEAD}"""\n', '\n"""'
+    return f"WITH {recs} SELECT id, sha256({_quote(before)} || coalesce(response, '') || {_quote(after)} || CASE rubric {tails} END) AS prompt_hash FROM (SELECT id, response, {rubric} AS rubric FROM (SELECT id, response, coalesce(classification.top, 'unknown') AS t FROM recs))"
+
+
 def _classify_prompt() -> str:
     from inkmill.functions.templates import GENRE_HEAD, GENRE_TAIL
 
     listed = "".join(f"\n- {g}\n" for g in ("poetry", "memoir", "review")) + "\n- unknown"
-    quote = lambda s: "'" + s.replace("'", "''") + "'"
     head = f"CASE WHEN {_tokens('text')} > 512 THEN substr(text, 1, 2048) ELSE text END"
     before, after = f'{GENRE_HEAD}{listed}\n\nTEXT:\n"""\n', f'\n"""{GENRE_TAIL}'
-    return f"SELECT doc_id, sha256({quote(before)} || coalesce({head}, '') || {quote(after)}) AS prompt_hash FROM documents"
+    return f"SELECT doc_id, sha256({_quote(before)} || coalesce({head}, '') || {_quote(after)}) AS prompt_hash FROM documents"

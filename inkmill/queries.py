@@ -131,7 +131,7 @@ def queries() -> dict[str, Query]:
         "route_rubric": lambda s, d: _records(s, d).select("id", _rubric().alias("rubric")),
         "score_prompt": lambda s, d: _records(s, d).select("id", hashed(templates.scoring_prompt(F.col("response"), _rubric(), metrics))),
         "score_parse": _scores,
-        "score_parse_native": lambda s, d: _replies(s, d, "score").where(F.col("content").rlike(r"^\{[^{}]*\}$")).select("reply_id", F.explode(scoring.parse_scores_native(F.col("content"), sorted({m for ms in scoring.RUBRICS.values() for m in ms}))).alias("metric", "score")),
+        "score_parse_native": lambda s, d: _replies(s, d, "score").select("reply_id", F.explode(scoring.parse_scores_native(F.col("content"), sorted({m for ms in scoring.RUBRICS.values() for m in ms}))).alias("metric", "score")),
         "resume_pending": lambda s, d: ledger.pending(_records(s, d), _t(s, d, "judge_replies").select(F.col("record_id").alias("id"))).select("id"),
         "resume_labels": lambda s, d: ledger.pending_labels(_records(s, d), _replies(s, d, "classify").select(F.col("record_id").alias("id"))).select("id"),
         "resume_scores": lambda s, d: ledger.pending_scores(_records(s, d), _replies(s, d, "score").select(F.col("record_id").alias("id"))).select("id"),
