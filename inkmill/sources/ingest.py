@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from inkmill.functions.ids import record_id
@@ -33,11 +33,25 @@ def last_pair(conversation: Column) -> Column:
 
 
 def _source_id(df: DataFrame, id_column: str | None, order: list[str]) -> DataFrame:
-    """Add source_id: the id column where it has a value, else item_ and the row's position in the source."""
-    indexed = with_row_index(df, order)
-    fallback = F.concat(F.lit("item_"), F.col("row_index").cast("string"))
+    """Add source_id: the id column where it has a value, else item_ and the row's position in the source.
+
+    Only if ids are missing are positions worked out, over the order columns alone; they are joined to the rows without
+    an id, so texts are neither sorted nor written. Of rows alike in the order columns the smaller hash comes first.
+    """
     own = F.when(F.col(id_column).cast("string") != "", F.col(id_column).cast("string")) if id_column and id_column in df.columns else F.lit(None).cast("string")
-    return indexed.withColumn("source_id", F.coalesce(own, fallback)).drop("row_index")
+    known = df.withColumn("source_id", own).where("source_id is not null")
+    missing = df.where(own.isNull())
+    if missing.isEmpty():
+        return known
+    narrow = df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], own.isNull().alias("_missing"))
+    keys = [f"_o{i}" for i in range(len(order))]
+    placed = with_row_index(narrow, keys).where("_missing").withColumn("_tie", F.row_number().over(Window.partitionBy(*keys).orderBy("row_index")))
+    rows = missing.withColumn("_tie", F.row_number().over(Window.partitionBy(*order).orderBy(F.xxhash64(*[c for c, t in df.dtypes if "map<" not in t]))))
+    same = placed["_tie"] == rows["_tie"]
+    for k, c in zip(keys, order):
+        same = same & placed[k].eqNullSafe(rows[c])
+    found = rows.join(placed, same).select(*[rows[c] for c in df.columns], F.concat(F.lit("item_"), placed["row_index"].cast("string")).alias("source_id"))
+    return known.unionByName(found)
 
 
 def first_of_id(df: DataFrame, order: list[str]) -> DataFrame:
