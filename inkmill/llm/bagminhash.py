@@ -71,6 +71,8 @@ def bands(times: np.ndarray, rows: int, bits: int) -> np.ndarray:
 
 
 def sketch(times: np.ndarray) -> np.ndarray:
-    """One bit of each of the first 64 registers as a signed 64-bit code."""
-    bit = codes(np.ascontiguousarray(times[:, :64]), 1).astype(np.uint8)
-    return np.packbits(bit, axis=1).view(">i8").ravel().astype(np.int64)
+    """One bit of each of the first 128 registers, as two signed 64-bit codes a bag, shape (bags, 2)."""
+    bits = np.zeros((len(times), 128), np.uint8)
+    held = min(128, times.shape[1])
+    bits[:, :held] = codes(np.ascontiguousarray(times[:, :held]), 1)
+    return np.packbits(bits, axis=1).view(">i8").astype(np.int64)

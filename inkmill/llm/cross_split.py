@@ -1,7 +1,7 @@
 """Problem 6: texts of the evaluation splits that also occur in the train split, exactly or almost.
 
 A text gets a similarity-hash fingerprint: 120 registers of a min-wise hash over its word sequences, cut to 8 bits
-each and segmented into 40 code blocks of 24 bits, plus one bit of 64 registers for the Hamming test. Blocks are
+each and segmented into 40 code blocks of 24 bits, plus one bit of every register for the Hamming test. Blocks are
 joined across the splits only, pairs outside the radius are dropped, the rest is verified on the word sequences.
 (The README says why the bits come from min-wise hashes and not from random hyperplanes.)
 """
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm.near_duplicates import HOT_BUCKET, fingerprints, keyed, similar_texts
-from inkmill.llm.shared import popcount_distance, slug
+from inkmill.llm.shared import sketch_distance, slug
 
 SPLITS = ("train", "validation", "test")
 
@@ -36,7 +36,7 @@ def _across(prints: DataFrame, radius: int) -> DataFrame:
     def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         left = left.where("in_eval").select(*on, F.col("text_key").alias("a"), "sketch")
         right = right.where("in_train").select(*on, F.col("text_key").alias("b"), F.col("sketch").alias("other"))
-        near = popcount_distance(F.col("sketch"), F.col("other")) <= radius
+        near = sketch_distance(F.col("sketch"), F.col("other")) <= radius
         return left.join(right, on).where(near & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
     cold, hot = rows.where(F.col("held") <= HOT_BUCKET), rows.where(F.col("held") > HOT_BUCKET)
@@ -47,7 +47,7 @@ def _across(prints: DataFrame, radius: int) -> DataFrame:
 
 
 def cross_split_pairs(
-    records: DataFrame, splits: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 20
+    records: DataFrame, splits: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 44
 ) -> DataFrame:
     """(id_a, id_b, split_a, split_b): near-duplicate record pairs, id_a < id_b, one in train, one in validation or test.
 

@@ -1,7 +1,7 @@
 """Problem 1: records whose response is mostly the same text.
 
 Every distinct response becomes a bag of word sequences and a BagMinHash signature; signatures are banded, bands are
-joined, pairs far apart by a 64-bit sketch are dropped, and what is left is verified on the sets of word sequences.
+joined, pairs far apart by a 120-bit sketch are dropped, and what is left is verified on the sets of word sequences.
 Copies of one text travel once and are expanded by membership at the end.
 """
 
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from inkmill.llm import bagminhash, wordstream
 from inkmill.llm.components import components
-from inkmill.llm.shared import materialize, popcount_distance, small
+from inkmill.llm.shared import materialize, sketch_distance, small
 from inkmill.llm.wordstream import chunks
 
 #: Buckets above this many texts are joined in salted blocks of this size.
@@ -44,17 +44,17 @@ def fingerprints(texts: DataFrame, *, words: int, min_words: int, registers: int
                 if not n:
                     continue
                 times = bagminhash.signatures(element, bag, count if weighted else np.ones(len(element)), n, registers)
-                code = bagminhash.bands(times, rows, bits).astype(np.int64)
+                code, sketch = bagminhash.bands(times, rows, bits).astype(np.int64), bagminhash.sketch(times)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys[a:b][enough]),
-                        pa.array(bagminhash.sketch(times)),
+                        pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(sketch[:, k])) for k in (0, 1)], ["x", "y"]),
                         pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.array(code.ravel())),
                     ],
                     names=["text_key", "sketch", "blocks"],
                 )
 
-    found = texts.select("text_key", "text").mapInArrow(run, "text_key bigint, sketch bigint, blocks array<bigint>")
+    found = texts.select("text_key", "text").mapInArrow(run, "text_key bigint, sketch struct<x:bigint,y:bigint>, blocks array<bigint>")
     return found.groupBy("text_key").agg(F.first("sketch").alias("sketch"), F.first("blocks").alias("blocks"))
 
 
@@ -101,7 +101,7 @@ def candidate_pairs(prints: DataFrame, radius: int) -> DataFrame:
     def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         right = right.select(*on, F.col("text_key").alias("b"), F.col("sketch").alias("other"))
         joined = left.withColumnRenamed("text_key", "a").join(right, on)
-        return joined.where((F.col("a") < F.col("b")) & (popcount_distance(F.col("sketch"), F.col("other")) <= radius)).select("a", "b")
+        return joined.where((F.col("a") < F.col("b")) & (sketch_distance(F.col("sketch"), F.col("other")) <= radius)).select("a", "b")
 
     cold, hot = rows.where(F.col("held") <= HOT_BUCKET), rows.where(F.col("held") > HOT_BUCKET)
     parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
@@ -138,7 +138,7 @@ def similar_texts(records: DataFrame, *, similarity: float, sequence: int, min_w
 
 
 def near_duplicate_links(
-    records: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 20
+    records: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 44
 ) -> tuple[DataFrame, DataFrame]:
     """Verified links between response texts and the membership of the records; see ``similar_texts``."""
     prints = fingerprints(keyed(records), words=signature_words, min_words=min_words, registers=registers, rows=rows, bits=44, weighted=True)

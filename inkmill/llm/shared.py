@@ -87,6 +87,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def popcount_distance(a: Column, b: Column) -> Column:
-    """Hamming distance of two 64-bit codes."""
-    return F.bit_count(a.bitwiseXOR(b))
+def sketch_distance(a: Column, b: Column) -> Column:
+    """Hamming distance of two sketches, structs of two 64-bit codes."""
+    return F.bit_count(a["x"].bitwiseXOR(b["x"])) + F.bit_count(a["y"].bitwiseXOR(b["y"]))
