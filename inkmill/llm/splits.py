@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 from inkmill.llm.components import components
 from inkmill.llm.shared import materialize
 
-#: Shelf codes and the names that stand for nobody, fixed values of the data.
+#: Shelf codes, fixed values of the data.
 SHELVES = ("kt", "mv", "qo", "zr", "bx", "wy")
-NOBODY = ("", "anonymous", "various", "unknown", "n/a")
 PROPORTIONS = {"train": 0.90, "validation": 0.05, "test": 0.05}
 #: A component with at least this share of the records is placed by deficit instead of by hash; at most 1/share exist.
 LARGE_SHARE = 0.001
@@ -32,10 +31,10 @@ def work_of(c: Column) -> Column:
 
 
 def author_of(c: Column) -> Column:
-    """What identifies an author in any spelling of the handle (its number), or null where it names nobody."""
-    name = F.trim(F.lower(c))
-    number = F.regexp_extract(name, r"(\d+)\s*$", 1)
-    return F.when(name.isin(*NOBODY), None).otherwise(F.when(number != "", F.regexp_replace(number, "^0+(?=.)", "")).otherwise(F.when(F.regexp_replace(name, r"[^\p{L}\p{N}]", "") != "", name)))
+    """What identifies an author in any spelling of the handle: the number at its end. Null where there is none, as in
+    the placeholders that name nobody."""
+    number = F.regexp_extract(c, r"(\d+)\s*$", 1)
+    return F.when(number != "", F.regexp_replace(number, "^0+(?=.)", ""))
 
 
 def work_groups(work_authors: DataFrame, works: DataFrame) -> DataFrame:
