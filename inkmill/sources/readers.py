@@ -38,7 +38,7 @@ def read_source(spark: SparkSession, path: str, fmt: str, *, schema: StructType
     """Read a dataset in one of FORMATS.
 
     jsonl: one object a line, malformed lines are skipped, or raise if ``strict``. csv: header, quotes doubled, line
-    feeds within quotes. text: one row a line, column ``text``, stripped. text_dir: one row for each ``*.txt`` file of
+    feeds within quotes. text: one row a line, column ``text``. text_dir: one row for each ``*.txt`` file of
     the folder (not below it), columns ``text``, ``file_name``, ``source_path``; ``max_items`` counts files in the
     order of their names. arrow and hf_dataset read Parquet exports. Missing paths raise.
     """
