@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions.ids import record_id
-from inkmill.functions.text import WS, pieces, strip, token_count
+from inkmill.functions.text import pieces, strip, token_count
 from inkmill.schema import META
 
 
@@ -49,17 +49,22 @@ def sentences(df: DataFrame, key: str, text: str = "response") -> DataFrame:
     return body.withColumn("tokens", token_count(F.col("sentence")))
 
 
-def chunks_of(text: Column, most: int, overlap: int) -> Column:
-    """array<struct<first, last, start, end>> of a text."""
-    raw = pieces(text)
-    bare = F.transform(raw, strip)
-    lead = F.transform(raw, lambda p: F.length(p) - F.length(F.regexp_replace(p, f"^{WS}+", "")))
+def with_chunks(df: DataFrame, text: str, most: int, overlap: int, wanted: Column | None = None) -> DataFrame:
+    """Add _bare, the stripped pieces of a text, and _c, array<struct<first, last, start, end>> of its chunks.
+
+    Rows that are not ``wanted`` get empty arrays. Pieces are found once, in a projection of their own; Python sees
+    numbers only.
+    """
 
     @F.pandas_udf("array<struct<first:int,last:int,start:int,end:int>>")
     def packed(tokens: pd.Series, lengths: pd.Series, leads: pd.Series, bodies: pd.Series) -> pd.Series:
         return pd.Series([place(*arrays, most, overlap) for arrays in zip(tokens, lengths, leads, bodies)], dtype=object)
 
-    return packed(F.transform(bare, token_count), F.transform(raw, F.length), lead, F.transform(bare, F.length))
+    source = F.col(text) if wanted is None else F.when(wanted, F.col(text))
+    cut = df.withColumn("_raw", pieces(source)).withColumn("_bare", F.transform("_raw", strip))
+    # what is stripped starts with the first character that is no white space, so its first place is its own
+    leads = F.zip_with("_raw", "_bare", lambda p, b: F.greatest(F.instr(p, b) - 1, F.lit(0)))
+    return cut.withColumn("_c", packed(F.transform("_bare", token_count), F.transform("_raw", F.length), leads, F.transform("_bare", F.length))).drop("_raw")
 
 
 def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column | None = None) -> DataFrame:
@@ -72,22 +77,25 @@ def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column
     long = token_count(F.col("response")) > F.lit(most * 1.1)
     if always is not None:
         long = long | F.coalesce(always, F.lit(False))
-    marked = df.withColumn("_long", F.coalesce(long, F.lit(False)))
-    kept = marked.where("not _long").drop("_long")
     # the fields of meta go as columns: what follows a Python function must not reach into a struct
     fields = {f.name: f"_m_{f.name}" for f in META.fields}
-    flat = marked.where("_long").select("id", "source_dataset_name", "response", *[F.col(f"meta.{k}").alias(v) for k, v in fields.items()])
-    cut = flat.withColumn("_c", chunks_of(F.col("response"), most, overlap)).withColumn("_s", F.filter(F.transform(pieces(F.col("response")), strip), lambda s: s != ""))
-    cut = cut.select("*", F.posexplode("_c").alias("_k", "_p")).drop("_c")
-    text = F.array_join(F.slice("_s", F.col("_p.first") + 1, F.col("_p.last") - F.col("_p.first") + 1), " ")
+    labels = {"top": "_top", "sub": "_sub"}
+    flat = df.select(
+        "id", "source_dataset_name", "prompt", "response", "scores", *[F.col(f"meta.{k}").alias(v) for k, v in fields.items()], *[F.col(f"classification.{k}").alias(v) for k, v in labels.items()], F.coalesce(long, F.lit(False)).alias("_long")
+    )
+    # one pass over all records: a record that is not cut gives one row without a chunk
+    rows = with_chunks(flat, "response", most, overlap, F.col("_long")).select("*", F.posexplode_outer("_c").alias("_k", "_p")).where("not _long or _k is not null")
+    real = F.filter("_bare", lambda s: s != "")
+    text = F.array_join(F.slice(real, F.col("_p.first") + 1, F.col("_p.last") - F.col("_p.first") + 1), " ")
+    chunk_id = record_id(F.col("source_dataset_name"), F.coalesce("_m_original_id", "id"), None, F.col("_k"))
     span = F.array(F.col("_p.start"), F.col("_p.end"))
-    chunked = cut.select(
-        record_id(F.col("source_dataset_name"), F.coalesce("_m_original_id", "id"), None, F.col("_k")).alias("id"),
+    keep = lambda new, old: F.when(F.col("_long"), new).otherwise(old)
+    return rows.select(
+        keep(chunk_id, F.col("id")).alias("id"),
         "source_dataset_name",
-        F.lit(None).cast("string").alias("prompt"),
-        text.alias("response"),
-        F.struct(*[(span if k == "char_span" else F.col(v)).alias(k) for k, v in fields.items()]).alias("meta"),
-        F.struct(F.lit(None).cast("string").alias("top"), F.lit(None).cast("string").alias("sub")).alias("classification"),
-        F.create_map().cast("map<string,double>").alias("scores"),
+        F.when(~F.col("_long"), F.col("prompt")).alias("prompt"),
+        keep(text, F.col("response")).alias("response"),
+        F.struct(*[(keep(span, F.col(v)) if k == "char_span" else F.col(v)).alias(k) for k, v in fields.items()]).alias("meta"),
+        F.struct(*[F.when(~F.col("_long"), F.col(v)).alias(k) for k, v in labels.items()]).alias("classification"),
+        keep(F.create_map().cast("map<string,double>"), F.coalesce("scores", F.create_map().cast("map<string,double>"))).alias("scores"),
     )
-    return kept.select(*chunked.columns).unionByName(chunked)

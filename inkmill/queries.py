@@ -68,8 +68,8 @@ def _rubric() -> object:
 
 
 def _chunks(spark: SparkSession, d: str, overlap: int) -> DataFrame:
-    docs = _t(spark, d, "documents").where("text is not null").select("doc_id", "text", segment.chunks_of(F.col("text"), CHUNK_TOKENS, overlap).alias("c"))
-    return docs.select("doc_id", F.posexplode("c").alias("chunk", "p")).select("doc_id", "chunk", F.col("p.start").alias("start_pos"), F.col("p.end").alias("end_pos"))
+    docs = segment.with_chunks(_t(spark, d, "documents").where("text is not null").select("doc_id", "text"), "text", CHUNK_TOKENS, overlap)
+    return docs.select("doc_id", F.posexplode("_c").alias("chunk", "p")).select("doc_id", "chunk", F.col("p.start").alias("start_pos"), F.col("p.end").alias("end_pos"))
 
 
 def _segmented(spark: SparkSession, d: str) -> DataFrame:
