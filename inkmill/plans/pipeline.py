@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,3 +141,44 @@ class Run:
         keys = scoring.namespaced(self._metrics())
         done = calibrate.calibrate(df, s.lower_percentile, s.upper_percentile, keys, s.calibrate)
         return finalize.assign_splits(calibrate.drop_incomplete(done, self._rubric(), s.min_metrics_present, self._metrics()), s.splits)
+
+
+@dataclass
+class Chain(Run):
+    """The same stages over a table that is already ingested, handed on as plans. Only what a later stage reads more than
+    once (KEPT) is written, to a folder of its own; answers are not, so the backend must answer alike each time."""
+
+    KEPT = ("classify", "score")
+    held: DataFrame | None = field(default=None, repr=False)
+
+    def _before(self, stage: str) -> DataFrame:
+        return self.held
+
+    def _answers(self, stage: str, requests: DataFrame, **options: float) -> DataFrame:
+        return self.backend.answer(requests, stage, self.settings.model_for(stage), **options)
+
+    def final(self, ingested: DataFrame) -> DataFrame:
+        self.held = ingested
+        for name in STAGES[1:]:
+            out = getattr(self, f"_{name}")()
+            if name in self.KEPT:
+                readers.write_records(out, self.path(name), self.settings.artifact_format, "overwrite")
+                out = self.read(name)
+            self.held = out
+        return self.held
+
+
+def working_folder(spark: SparkSession, name: str) -> str:
+    """A new folder that all executors share, in spark.checkpoint.dir (a local one where it is unset), deleted at exit."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="inkmill-")
+    path = f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+    @atexit.register
+    def clean() -> None:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session may be gone already
+            pass
+
+    return path

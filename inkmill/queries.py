@@ -11,6 +11,9 @@ from inkmill.functions import templates
 from inkmill.functions.ids import record_id
 from inkmill.functions.text import clean_text, head, one_line, token_count, truncate_prompt
 from inkmill.operators import calibrate, filters, finalize, labels, ledger, prompts, scoring, segment
+from inkmill.plans.backend import StubBackend
+from inkmill.plans.config import Dataset, Settings
+from inkmill.plans.pipeline import Chain, working_folder
 from inkmill.sources import ingest, readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +24,9 @@ CHUNK_TOKENS, OVERLAP = 120, 1
 QUOTAS, DEFAULT_QUOTA = {"poetry": 25, "other": 0}, 40
 RULES = [("story_*", "narrative_creative"), ("poetry", "narrative_creative"), ("[fghn]*_*", "academic_informative"), ("blog_pos?", "entertainment_personal"), ("memoir", "professional"), ("*", "default")]
 
+#: What the pipeline ingests, in this order.
+PIPELINE_SOURCES = (Dataset("documents", "documents.parquet", "parquet", "C", {"id": "doc_id"}), Dataset("conversations", "conversations.parquet", "parquet", "A"))
+
 
 def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
@@ -83,14 +89,15 @@ def _pairs_to_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pipeline(spark: SparkSession, d: str) -> DataFrame:
-    """Ingest, filter, label by the judge's replies, sample, route, complete and split; counts per split and rubric."""
-    done = _latest(_replies(spark, d, "classify")).select(F.col("record_id").alias("id"), labels.parse_genre(F.col("content")).alias("top"))
-    rows = _records(spark, d).join(done, "id", "left").withColumn("classification", F.struct(F.coalesce("top", "classification.top").alias("top"), F.col("classification.sub").alias("sub"))).drop("top")
-    kept = filters.filter_chain(rows, filters.FilterSettings(min_tokens=10, max_tokens=2000), ["id"])
-    sampled = labels.sample_quota(kept, QUOTAS, DEFAULT_QUOTA)
-    tagged = prompts.tag_prompts(sampled, F.concat(F.lit("Write a piece like "), F.substring("response", 1, 300)))
-    complete = calibrate.drop_incomplete(tagged, _rubric(), 0.0)
-    split = finalize.assign_splits(complete).withColumn("rubric", _rubric())
+    """All stages of plans/pipeline.py with the stub backend, over documents and conversations: ingest, filter, segment,
+    classify, normalise, reconstruct, score, calibrate, completeness and split; counts per split and rubric.
+
+    Settings are those of production but for the chunk size. No detector is given, so the language filter is off.
+    """
+    settings = Settings(datasets=PIPELINE_SOURCES, rubric_mapping=dict(RULES), max_chunk_tokens=CHUNK_TOKENS, sentence_overlap=OVERLAP)
+    backend = StubBackend(settings.genres, sorted({m for ms in scoring.RUBRICS.values() for m in ms}))
+    chain = Chain(spark, settings, backend, working_folder(spark, "pipeline"))
+    split = chain.final(ingest.union_records(_documents(spark, d), _pairs(spark, d))).withColumn("rubric", _rubric())
     return split.groupBy("split", "rubric").agg(F.count("*").alias("records"), F.count_if(F.col("meta.prompt_type") == "reconstructed").alias("reconstructed"))
 
 
