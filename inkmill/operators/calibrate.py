@@ -48,6 +48,15 @@ def calibrate(df: DataFrame, low: float = 5, high: float = 95, metrics: Sequence
     return df.withColumn("scores", F.map_concat(kept, named))
 
 
+def scored_rubric(rubrics: Mapping[str, Sequence[str]] = RUBRICS) -> Column:
+    """The rubric under which a record was scored: the one that most of its scores belong to, the first by name of
+    several; null where no score belongs to any."""
+    held = F.map_keys(F.map_filter("scores", lambda k, v: v.isNotNull() & ~k.endswith(SUFFIX)))
+    named = F.array(*[F.struct((-F.size(F.array_intersect(held, F.array(*[F.lit(f"{name}.{m}") for m in ms])))).alias("n"), F.lit(name).alias("name")) for name, ms in rubrics.items()])
+    first = F.array_min(named)
+    return F.when(first["n"] < 0, first["name"])
+
+
 def present_share(rubric: Column, rubrics: Mapping[str, Sequence[str]] = RUBRICS) -> Column:
     """Share of the metrics of a record's own rubric that have a score."""
     names = F.create_map(*[F.lit(x) if isinstance(x, str) else F.array(*map(F.lit, x)) for name, m in rubrics.items() for x in (name, [f"{name}.{k}" for k in m])])

@@ -146,7 +146,7 @@ def queries() -> dict[str, Query]:
         "metric_percentiles": lambda s, d: calibrate.metric_percentiles(_records(s, d)).select("metric", "n", F.round("lo", 9).alias("lo"), F.round("hi", 9).alias("hi"), "least", "most"),
         "calibrate": lambda s, d: calibrate.calibrate(_records(s, d)).select("id", F.explode("scores").alias("metric", "score")).where(F.col("metric").endswith(calibrate.SUFFIX)).select("id", "metric", F.round("score", 7).alias("score")),
         "calibrate_degenerate": lambda s, d: calibrate.calibrate(_records(s, d).withColumn("scores", F.transform_values("scores", lambda k, v: F.when(v.isNotNull(), 0.25))), 5, 95).select("id", F.explode("scores").alias("metric", "score")).where(F.col("metric").endswith(calibrate.SUFFIX)),
-        "completeness_filter": lambda s, d: calibrate.drop_incomplete(_records(s, d), F.lit("narrative_creative"), 0.7).select("id"),
+        "completeness_filter": lambda s, d: calibrate.drop_incomplete(_records(s, d), calibrate.scored_rubric(), 0.7).select("id"),
         "split_assign": lambda s, d: finalize.assign_splits(_records(s, d)).select("id", "split"),
         "split_report": lambda s, d: finalize.split_report(finalize.assign_splits(_records(s, d))).select("split", "records", F.round("percent", 6).alias("percent")),
         "coverage_gap": lambda s, d: calibrate.coverage(_records(s, d), labels.label_of(), 20),
