@@ -162,15 +162,89 @@ def near_duplicate_pairs(records: DataFrame, **parameters: object) -> DataFrame:
     return expand(*near_duplicate_links(records, **parameters))
 
 
-def near_duplicate_groups(records: DataFrame, **parameters: object) -> DataFrame:
+def small_sets(texts: DataFrame, words: int, most: int) -> DataFrame:
+    """(text_key, n_words, seqs) as in ``sequence_sets``, of texts with 1 to ``most`` distinct sequences.
+
+    A text with fewer words than a sequence has one sequence of all its words; one without words has none.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            for a, b in chunks(column):
+                hashes, offsets = wordstream.words(column[a:b])
+                n_words = np.diff(offsets)
+                parts = [wordstream.shingles(hashes, offsets, words)]
+                for k in range(1, words):
+                    seq, owner = wordstream.shingles(hashes, offsets, k)
+                    whole = n_words[owner] == k
+                    parts.append((seq[whole], owner[whole]))
+                seq, owner = (np.concatenate(x) for x in zip(*parts))
+                order = np.lexsort((seq, owner))
+                seq, owner = seq[order], owner[order]
+                if len(seq):
+                    new = np.concatenate(([True], (seq[1:] != seq[:-1]) | (owner[1:] != owner[:-1])))
+                    seq, owner = seq[new], owner[new]
+                size = np.bincount(owner, minlength=b - a)
+                kept = (size > 0) & (size <= most)
+                if not kept.any():
+                    continue
+                at = np.concatenate(([0], np.cumsum(size[kept]))).astype(np.int32)
+                seq = seq[kept[owner]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys[a:b][kept]), pa.array(n_words[kept].astype(np.int64)), pa.ListArray.from_arrays(pa.array(at), pa.array(seq.view(np.int64)))],
+                    names=["text_key", "n_words", "seqs"],
+                )
+
+    found = texts.select("text_key", "text").mapInArrow(run, "text_key bigint, n_words bigint, seqs array<bigint>")
+    return found.groupBy("text_key").agg(F.first("n_words").alias("n_words"), F.first("seqs").alias("seqs"))
+
+
+def short_links(records: DataFrame, *, similarity: float, sequence: int, below: int) -> DataFrame:
+    """(a, b), a < b: text keys whose sets of sequences overlap by ``similarity``, at least one with under ``below`` words.
+
+    Banding would lose pairs of so few sequences, so this is an exact join. The sequences of every text are put in one
+    order, rarest first; texts that overlap enough then share a sequence among the first ones of both, at places that
+    leave room for the overlap. A longer text takes part while it has so few distinct sequences that it can overlap a
+    short one.
+    """
+    sets = materialize(small_sets(keyed(records), sequence, int(max(1, below - sequence) / similarity)), "short")
+    share = similarity / (1 + similarity)
+    least = lambda x: F.ceil(x - F.lit(1e-9))
+    rows = sets.select("text_key", (F.col("n_words") < below).alias("short"), F.size("seqs").alias("size"), F.explode("seqs").alias("seq"))
+    rows = rows.withColumn("held", F.expr("count(*) over (partition by seq)"))
+    rows = rows.withColumn("place", F.expr("row_number() over (partition by text_key order by held, seq)"))
+    first = rows.where((F.col("held") > 1) & (F.col("place") <= F.col("size") - least(F.col("size") * similarity) + 1))
+    met = {"held": F.expr("count(*) over (partition by seq)"), "any_short": F.expr("max(short) over (partition by seq)")}
+    first = first.drop("held").repartition("seq").withColumns(met).where("held > 1 and any_short").drop("any_short")
+
+    def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        # the smaller set stands on the left, where fewer places are enough
+        left = left.where(F.col("place") <= F.col("size") - least(F.col("size") * 2 * share) + 1).select(*on, F.col("text_key").alias("a"), F.col("short").alias("sa"), F.col("size").alias("na"), F.col("place").alias("pa"))
+        right = right.select(*on, F.col("text_key").alias("b"), F.col("short").alias("sb"), F.col("size").alias("nb"), F.col("place").alias("pb"))
+        room = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) + 1 >= least((F.col("na") + F.col("nb")) * share)
+        ordered = F.expr("na < nb or (na = nb and a < b)") & (F.col("na") >= F.col("nb") * similarity)
+        return left.join(right, on).where(ordered & (F.col("sa") | F.col("sb")) & room).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+
+    cold, hot = first.where(F.col("held") <= HOT_BUCKET), first.where(F.col("held") > HOT_BUCKET)
+    parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
+    salted = hot.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
+    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    found = materialize(pairs(cold, cold, ["seq"]).unionByName(pairs(salted, spread, ["seq", "salt"])).distinct(), "short-pairs")
+    return verified(found, sets, 1, similarity)
+
+
+def near_duplicate_groups(records: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, **parameters: object) -> DataFrame:
     """One row per distinct record id: (id, group_id, links).
 
     group_id is the smallest text key that the record's text is linked to, directly or through others; links counts
-    the other texts it is directly linked to. Records without links form groups of their own text; a record without
-    a response has a null group.
+    the other texts it is directly linked to. Texts of any length are linked: ``min_words`` only decides which pairs are
+    found by signature and which, with a shorter text, by ``short_links``. Texts with fewer words than a sequence are
+    linked when their words are equal, texts without words when they are equal themselves. Records without links form
+    groups of their own text; a record without a response has a null group.
     """
-    links, members = near_duplicate_links(records, **parameters)
-    edges = links.where("a <> b")
+    links, members = near_duplicate_links(records, similarity=similarity, sequence=sequence, min_words=min_words, **parameters)
+    edges = materialize(links.where("a <> b").union(short_links(records, similarity=similarity, sequence=sequence, below=min_words)), "edges")
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count("*").alias("links"))
     label = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
