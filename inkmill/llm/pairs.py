@@ -35,7 +35,18 @@ _REFUSING = re.compile(
         ]
     )
 )
-#: Most words of a response that does nothing but refuse.
+#: What the other sentences of a refusal speak of: excuses, rules, offers and closings, by language (fixed values).
+_BESIDE = re.compile(
+    "|".join(
+        [
+            r"\b(?:sorry|apologi[sz]e|apolog(?:y|ies)|afraid|unfortunately|regret|request|requests|guidelines?|polic(?:y|ies)|principles|instead|happy to|glad to|let me know|feel free|thank you|thanks|(?:kind|best|warm) regards|sincerely|another (?:topic|question|task)|something else|(?:can|could) (?:gladly )?(?:help|assist)|your understanding|reach out|not appropriate|inappropriate|language model|ai assistant|as an ai)\b",
+            r"\b(?:désolée?|excusez|excuses|malheureusement|regrette|demande|règles|consignes|principes|plutôt|merci|cordialement|autre (?:sujet|question|chose)|volontiers|n'hésitez pas|compréhension)\b",
+            r"\b(?:tut mir leid|entschuldig\w*|leider|bedau[e]?re|anfrage|bitte um verständnis|verständnis|regeln|richtlinien|stattdessen|gerne?|danke|vielen dank|(?:mit|beste|viele|freundliche[n]?) (?:freundlichen )?grüße[n]?|andere[ns]? (?:thema|frage|aufgabe)|etwas anderes)\b",
+            r"\b(?:lo siento|lamento|lamentablemente|disculp\w*|perdón|petición|solicitud|normas|reglas|principios|en su lugar|en cambio|gracias|saludos|atentamente|otr[oa] (?:tema|pregunta|cosa)|con gusto|comprensión)\b",
+        ]
+    )
+)
+#: Most words of a paragraph in which any other sentence counts as a reason.
 REFUSAL_WORDS = 60
 #: Names of the languages in each of them (fixed values).
 _ASKED = {
@@ -55,7 +66,7 @@ def is_empty(response: str) -> bool:
 def is_copy(prompt: str, response: str) -> bool:
     """Nothing but the prompt: the words are the prompt's, in about its order, once or repeated."""
     p, r = _WORD.findall(prompt.lower()), _WORD.findall(_TAG.sub(" ", response).lower())
-    if not p or len(r) < 0.6 * len(p) or len(r) > 6 * len(p) + 6:
+    if not p or len(r) < 0.6 * len(p):
         return False
     r = [w for w in r if w not in ("q", "a")]
     known, times = Counter(p), max(1, round(len(r) / len(p)))
@@ -67,11 +78,18 @@ def is_copy(prompt: str, response: str) -> bool:
 
 
 def is_refusal(response: str) -> bool:
-    """Declines in its own voice and gives nothing else."""
-    if len(response) > 12 * REFUSAL_WORDS:
-        return False
+    """Declines in its own voice and gives nothing else, at any length.
+
+    In one short paragraph a sentence beside the refusal is taken for its reason. A longer response must open with the
+    refusal, and each of its sentences must decline, excuse, point elsewhere or close.
+    """
     own = _QUOTED.sub(" ", _TAG.sub(" ", response).replace("’", "'")).lower()
-    return len(_WORD.findall(response)) <= REFUSAL_WORDS and bool(_REFUSING.search(own)) and not re.search(r"\n\s*\n.*\w{3}", response.strip(), re.DOTALL)
+    if not _REFUSING.search(own):
+        return False
+    if len(_WORD.findall(response)) <= REFUSAL_WORDS and not re.search(r"\n\s*\n.*\w{3}", response.strip(), re.DOTALL):
+        return True
+    said = [x for x in re.split(r"(?<=[.!?…])\s+|\n+", own) if _WORD.search(x)]
+    return any(map(_REFUSING.search, said[:3])) and all(_REFUSING.search(x) or _BESIDE.search(x) or len(_WORD.findall(x)) <= 3 for x in said)
 
 
 def asked_languages(prompt: str) -> set[str]:
