@@ -68,3 +68,37 @@ def posteriors(texts: list[str | None]) -> np.ndarray:
     sums, _ = log_likelihoods(texts)
     p = np.exp(sums - sums.max(axis=1, keepdims=True))
     return p / p.sum(axis=1, keepdims=True)
+
+
+#: Scripts by ranges of code points (fixed values). Chinese and Japanese share one, as they share their characters.
+SCRIPTS = {
+    "latin": [(0x41, 0x24F), (0x250, 0x2AF), (0x1E00, 0x1EFF), (0xFF21, 0xFF5A)], "greek": [(0x370, 0x3FF), (0x1F00, 0x1FFF)], "cyrillic": [(0x400, 0x52F), (0x1C80, 0x1C8F), (0x2DE0, 0x2DFF), (0xA640, 0xA69F)],
+    "armenian": [(0x530, 0x58F)], "hebrew": [(0x590, 0x5FF)], "arabic": [(0x600, 0x77F), (0x8A0, 0x8FF), (0xFB50, 0xFDFF), (0xFE70, 0xFEFE)], "indic": [(0x900, 0xDFF)], "thai": [(0xE00, 0xEFF)],
+    "georgian": [(0x10A0, 0x10FF), (0x1C90, 0x1CBF)], "ethiopic": [(0x1200, 0x139F)], "hangul": [(0x1100, 0x11FF), (0x3130, 0x318F), (0xAC00, 0xD7AF)],
+    "east": [(0x3005, 0x3007), (0x3040, 0x312F), (0x31A0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)],
+}
+#: What a character of a script with many syllables or words in one sign counts, in letters.
+_WEIGHT = {"east": 3, "hangul": 3}
+_scripts: dict[str, np.ndarray] = {}
+
+
+def _script_table() -> np.ndarray:
+    table = np.zeros(0x40000, np.int8)
+    for n, ranges in enumerate(SCRIPTS.values(), 1):
+        for a, b in ranges:
+            for i in range(a, b + 1):
+                if i >= 0x20000 or chr(i).isalpha():
+                    table[i] = n
+    return table
+
+
+def script_letters(texts: list[str | None]) -> np.ndarray:
+    """(texts x SCRIPTS) letters of each script in each text, weighted."""
+    if "table" not in _scripts:
+        _scripts["table"] = _script_table()
+    joined = "\n".join([*[t or "" for t in texts], ""])
+    kind = _scripts["table"][np.minimum(np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32), 0x3FFFF)]
+    owner = np.repeat(np.arange(len(texts)), [len(t or "") + 1 for t in texts])
+    n = len(SCRIPTS) + 1
+    counts = np.bincount(owner * n + kind, minlength=len(texts) * n).reshape(len(texts), n)[:, 1:]
+    return counts * np.array([_WEIGHT.get(name, 1) for name in SCRIPTS])

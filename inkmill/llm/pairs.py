@@ -53,6 +53,17 @@ _ASKED = {
     "en": r"english|englisch|anglais|inglés|ingles", "fr": r"french|französisch|français|francais|francés", "de": r"german|deutsch|allemand|alemán|aleman", "es": r"spanish|spanisch|espagnol|español|castellano",
 }
 _ASKED_FOR = {code: re.compile(rf"\b(?:in|into|auf|ins|en|al|to) (?:{names})\b", re.IGNORECASE) for code, names in _ASKED.items()}
+#: Names of languages written in each other script, in four languages, and in their own (fixed values).
+_SCRIPT_ASKED = {
+    "greek": r"greek|griechisch\w*|grec|griego", "cyrillic": r"russian|ukrainian|bulgarian|serbian|russisch\w*|ukrainisch\w*|bulgarisch\w*|serbisch\w*|russe|ukrainien|bulgare|serbe|ruso|ucraniano|búlgaro|serbio|cyrillic|kyrillisch\w*",
+    "armenian": r"armenian|armenisch\w*|arménien|armenio", "hebrew": r"hebrew|yiddish|hebräisch\w*|jiddisch\w*|hébreu|hebreo", "arabic": r"arabic|persian|farsi|urdu|arabisch\w*|persisch\w*|arabe|persan|árabe|persa",
+    "indic": r"hindi|sanskrit|bengali|tamil|telugu|marathi|nepali|punjabi|gujarati|kannada|malayalam|sinhal\w*", "thai": r"thai|thailändisch\w*|thaï|tailandés|lao", "georgian": r"georgian|georgisch\w*|géorgien|georgiano", "ethiopic": r"amharic|amharisch\w*|amharique|amárico",
+    "hangul": r"korean|koreanisch\w*|coréen|coreano", "east": r"chinese|japanese|mandarin|cantonese|chinesisch\w*|japanisch\w*|chinois|japonais|chino|japonés", "latin": r"english|french|german|spanish|italian|portuguese|latin|englisch|französisch|deutsch|spanisch|anglais|français|allemand|espagnol|inglés|francés|alemán|español",
+}
+_SCRIPT_NAMED = {"greek": r"ελληνικά", "cyrillic": r"русск", "hangul": r"한국어", "east": r"中文|日本語|汉语|漢語", "latin": r"английск|英語|英语|英文|영어|αγγλικά"}
+_SCRIPT_ASKED_FOR = {name: re.compile(rf"\b(?:in|into|auf|ins|en|al|to) (?:{names})\b|{_SCRIPT_NAMED.get(name, '(?!)')}", re.IGNORECASE) for name, names in _SCRIPT_ASKED.items()}
+#: Letters below which a text says too little of its script.
+LEAST_LETTERS = 6
 #: Trigrams below which a text says too little of its language, and the log odds a trigram must give on average.
 LEAST_TRIGRAMS, LEAST_ODDS = 12, 0.25
 
@@ -96,6 +107,20 @@ def asked_languages(prompt: str) -> set[str]:
     return {code for code, pattern in _ASKED_FOR.items() if pattern.search(prompt)}
 
 
+def foreign_scripts(prompts: list[str], responses: list[str]) -> list[bool]:
+    """Whether most letters of a response are of another script than most of the prompt's, and the prompt doesn't name a
+    language of that script."""
+    names = list(language_model.SCRIPTS)
+    p, r = language_model.script_letters(prompts), language_model.script_letters(responses)
+    of_p, of_r = p.argmax(axis=1), r.argmax(axis=1)
+    rows = np.arange(len(prompts))
+    plenty = (p.sum(axis=1) >= LEAST_LETTERS) & (r.sum(axis=1) >= LEAST_LETTERS)
+    # Japanese and Korean texts hold each other's and Latin letters: both sides must be clear
+    clear = (2 * r[rows, of_r] > r.sum(axis=1)) & (2 * p[rows, of_p] > p.sum(axis=1)) & (2 * r[rows, of_p] < r.sum(axis=1))
+    foreign = plenty & clear & (of_p != of_r)
+    return [bool(f) and not _SCRIPT_ASKED_FOR[names[of_r[i]]].search(prompts[i]) for i, f in enumerate(foreign)]
+
+
 def defects(prompts: list[str], responses: list[str]) -> list[str | None]:
     """The defect of each pair, or none."""
     names = language_model.LANGUAGES
@@ -106,6 +131,7 @@ def defects(prompts: list[str], responses: list[str]) -> list[str | None]:
     ranked = np.sort(of_prompt, axis=1)
     sure = (ranked[:, -1] - ranked[:, -2]) / np.maximum(np_, 1)
     foreign = (lang_p != lang_r) & (np_ >= LEAST_TRIGRAMS) & (nr >= LEAST_TRIGRAMS) & (odds > LEAST_ODDS) & (sure > 0.05)
+    scripts = foreign_scripts(prompts, responses)
     out: list[str | None] = []
     for i, (prompt, response) in enumerate(zip(prompts, responses)):
         if is_empty(response):
@@ -114,7 +140,7 @@ def defects(prompts: list[str], responses: list[str]) -> list[str | None]:
             out.append("copied")
         elif is_refusal(response):
             out.append("refusal")
-        elif foreign[i] and names[lang_r[i]] not in asked_languages(prompt):
+        elif scripts[i] or (foreign[i] and names[lang_r[i]] not in asked_languages(prompt)):
             out.append("wrong_language")
         elif endings.cut_score(response) > 0:
             out.append("truncated")
