@@ -1,9 +1,9 @@
 """Problem 6: texts of the evaluation splits that also occur in the train split, exactly or almost.
 
-A text gets a similarity-hash fingerprint: 120 registers of a min-wise hash over its word sequences, cut to 8 bits
-each and segmented into 40 code blocks of 24 bits, plus one bit of every register for the Hamming test. Blocks are
-joined across the splits only, pairs outside the radius are dropped, the rest is verified on the word sequences.
-(The README says why the bits come from min-wise hashes and not from random hyperplanes.)
+This is the banded min-hash of p1, joined across the splits, in place of a similarity hash with segmented blocks: a text
+gets 120 registers of a min-wise hash over its word sequences; each block is a 24-bit hash of three whole registers, 40 in
+all. Blocks are joined across the splits only, pairs whose sketches (one bit a register, a code apart from the blocks)
+lie outside the radius are dropped, the rest is verified on the word sequences. (The README has the reason.)
 """
 
 from __future__ import annotations
