@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from inkmill.llm.lang_samples import SAMPLES
 
@@ -102,3 +105,20 @@ def script_letters(texts: list[str | None]) -> np.ndarray:
     n = len(SCRIPTS) + 1
     counts = np.bincount(owner * n + kind, minlength=len(texts) * n).reshape(len(texts), n)[:, 1:]
     return counts * np.array([_WEIGHT.get(name, 1) for name in SCRIPTS])
+
+
+def detect(df: DataFrame, text: str = "response") -> tuple[Column, Column]:
+    """(language, probability) of each text, for the language filter; null and 0 where most letters aren't Latin, or none is.
+
+    A language other than LANGUAGES in Latin letters gets the one of them that is nearest.
+    """
+
+    @F.pandas_udf("struct<lang:string,probability:double>")
+    def guess(texts: pd.Series) -> pd.DataFrame:
+        held = [t or "" for t in texts]
+        p, letters = posteriors(held), script_letters(held)
+        latin = 2 * letters[:, list(SCRIPTS).index("latin")] > letters.sum(axis=1)
+        return pd.DataFrame({"lang": [LANGUAGES[k] if ok else None for k, ok in zip(p.argmax(axis=1), latin)], "probability": np.where(latin, p.max(axis=1), 0.0)})
+
+    found = guess(F.col(text))
+    return found["lang"], found["probability"]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import argparse
+import importlib
 import sys
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -13,20 +15,30 @@ from inkmill.plans.config import load_settings
 from inkmill.plans.pipeline import STAGES, Run
 
 
+def load_detector(name: str) -> object:
+    """The function that ``module:function`` names: from records to the columns (language, probability)."""
+    module, _, function = name.partition(":")
+    return getattr(importlib.import_module(module), function)
+
+
 def main(args: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="inkmill")
     for name in ("run", "datasets", "rubrics", "folder"):
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--stub", action="store_true", help="answer by rule instead of asking a model")
     p.add_argument("--force", action="store_true", help="run stages again that have output")
+    p.add_argument("--detector", help="module:function that gives language and probability, e.g. inkmill.llm.language_model:detect")
     p.add_argument("--skip", nargs="*", default=[], choices=STAGES)
     p.add_argument("stages", nargs="*", default=list(STAGES))
     a = p.parse_args(args)
     settings = load_settings(a.run, a.datasets, a.rubrics)
+    detector = load_detector(a.detector) if a.detector else None
+    if detector is None and settings.filter.lang_threshold > 0:
+        warnings.warn(f"no --detector is given, so lang_id_threshold {settings.filter.lang_threshold} has no effect: records in every language pass", stacklevel=2)
     every = sorted({m for ms in (settings.metrics() or RUBRICS).values() for m in ms})
     backend = StubBackend(settings.genres, every) if a.stub else HttpBackend()
     spark = SparkSession.builder.appName("inkmill").getOrCreate()
-    Run(spark, settings, backend, a.folder, force=a.force).run(tuple(a.stages), tuple(a.skip))
+    Run(spark, settings, backend, a.folder, force=a.force, detector=detector).run(tuple(a.stages), tuple(a.skip))
     return 0
 
 
