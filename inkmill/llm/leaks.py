@@ -42,7 +42,7 @@ def automaton(items: list[tuple[int, str]], n: int = WORDS) -> ahocorasick.Autom
 
 
 def matches(a: ahocorasick.Automaton, text: str, n: int = WORDS) -> list[tuple[int, int, int, int]]:
-    """(item, first character, end, words) of the longest stretch that a text shares with each item."""
+    """(item, first character, end, words) of each maximal stretch that a text shares with an item."""
     flat = normalise(text)
     runs: dict[int, list[list[int]]] = {}
     for end, holders in a.iter(flat):
@@ -56,8 +56,7 @@ def matches(a: ahocorasick.Automaton, text: str, n: int = WORDS) -> list[tuple[i
     if not runs:
         return []
     places = [m.span() for m in _WORD.finditer(text)]
-    best = {item: max(stretches, key=lambda s: s[1] - s[0]) for item, stretches in runs.items()}
-    return [(item, places[i][0], places[j][1], j - i + 1) for item, (i, j) in best.items()]
+    return [(item, places[i][0], places[j][1], j - i + 1) for item, stretches in runs.items() for i, j in stretches]
 
 
 def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
@@ -76,10 +75,10 @@ def _blocks(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
 
 
 def leaked_passages(documents: DataFrame, items: DataFrame, words: int = WORDS) -> DataFrame:
-    """(doc_id, item_id, start_pos, end_pos, n_words): the longest passage of at least ``words`` words that a document
-    shares with an item, at its place in the original text.
+    """(doc_id, item_id, start_pos, end_pos, n_words): every passage of at least ``words`` words that a document shares
+    with an item, as long as it goes, at its place in the original text.
 
-    Null texts and ids have no rows; a document given twice has one row an item; with no items there are no rows.
+    Null texts and ids have no rows; a document given twice has one row a passage; with no items there are no rows.
     A stretch may join passages that follow one another in both texts but for their order within the item.
     """
     schema = "doc_id bigint, item_id bigint, start_pos bigint, end_pos bigint, n_words bigint"
@@ -102,11 +101,11 @@ def leaked_passages(documents: DataFrame, items: DataFrame, words: int = WORDS)
         out = part if out is None else out.unionByName(part)
     if out is None:
         return spark.createDataFrame([], schema)
-    return out.groupBy("doc_id", "item_id").agg(*[F.max_by(c, F.struct("n_words", -F.col("start_pos"))).alias(c) for c in ("start_pos", "end_pos")], F.max("n_words").alias("n_words"))
+    return out.distinct()
 
 
 def leak_report(documents: DataFrame, items: DataFrame, words: int = WORDS) -> DataFrame:
     """(item_id, task, documents, longest): how many documents hold a passage of each item, 0 included."""
-    found = leaked_passages(documents, items, words).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("n_words").alias("longest"))
+    found = leaked_passages(documents, items, words).groupBy("item_id").agg(F.count_distinct("doc_id").alias("documents"), F.max("n_words").alias("longest"))
     every = items.where("item_id is not null").groupBy(F.col("item_id").cast("bigint").alias("item_id")).agg(F.min("task").alias("task"))
     return every.join(found, "item_id", "left").select("item_id", "task", F.coalesce("documents", F.lit(0)).alias("documents"), F.coalesce("longest", F.lit(0)).alias("longest"))

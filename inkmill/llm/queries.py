@@ -30,7 +30,7 @@ def queries() -> dict[str, Query]:
         "p7_found": lambda s, d: pieces.split_oversized(t(s, d, "records")).select("id").distinct(),
         "p7_pieces": lambda s, d: pieces.split_oversized(t(s, d, "records")),
         "p8_ids": lambda s, d: encoding.encode_documents(t(s, d, "documents")),
-        "p9_found": lambda s, d: leaks.leaked_passages(t(s, d, "documents"), t(s, d, "eval_items")).select("doc_id", "item_id"),
+        "p9_found": lambda s, d: leaks.leaked_passages(t(s, d, "documents"), t(s, d, "eval_items")).select("doc_id", "item_id").distinct(),
         "p9_passages": lambda s, d: leaks.leaked_passages(t(s, d, "documents"), t(s, d, "eval_items")),
         "p9_report": lambda s, d: leaks.leak_report(t(s, d, "documents"), t(s, d, "eval_items")),
         "p10_found": lambda s, d: pii.find_personal_data(t(s, d, "documents"), t(s, d, "person_names")).select("doc_id", "pii_type", "start_pos"),
