@@ -9,6 +9,8 @@ register of its bag.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 from inkmill.llm.wordstream import mix
@@ -35,7 +37,7 @@ def signatures(element: np.ndarray, bag: np.ndarray, weight: np.ndarray, bags: i
     seed = mix(element[rows] * np.uint64(0x9E3779B97F4A7C15) + stretch.astype(np.uint64))
     at, owner, limit = np.zeros(len(rows)), bag[rows], weight[rows]
     whole = limit >= low + width
-    stop = np.full(bags, np.inf)
+    stop, turn = np.full(bags, np.inf), 0
     while len(at):
         seed = seed + _STEP
         draw = mix(seed)
@@ -50,29 +52,40 @@ def signatures(element: np.ndarray, bag: np.ndarray, weight: np.ndarray, bags: i
         else:
             seen = whole | (low + width * _uniform(mix(second)) < limit)
             np.minimum.at(times, slot[seen], at[seen])
-        stop = times.reshape(bags, registers).max(axis=1)
-        if not np.isfinite(stop).any():
-            continue
+        turn += 1
+        # a stop that is out of date only lets points through that change nothing
+        if turn < 4 or turn % 4 == 0:
+            stop = times.reshape(bags, registers).max(axis=1)
     return times.reshape(bags, registers)
 
 
-def codes(times: np.ndarray, bits: int) -> np.ndarray:
-    """Each register as a code of so many bits (equal times give equal codes)."""
-    return mix(times.view(np.uint64).reshape(times.shape)) >> np.uint64(64 - bits)
+def code(times: np.ndarray) -> np.ndarray:
+    """The fingerprint of each bag: eight bits a register, one after the other; shape (bags, registers), bytes.
+
+    Equal registers give equal bytes, others differ in four of eight bits on average, so of two fingerprints about
+    4 x registers x (1 - similarity) bits differ.
+    """
+    return (mix(times.view(np.uint64).reshape(times.shape)) >> np.uint64(56)).astype(np.uint8)
+
 
+def longs(codes: np.ndarray) -> np.ndarray:
+    """Fingerprints as signed 64-bit numbers, shape (bags, registers / 8)."""
+    return np.ascontiguousarray(codes).view(np.int64)
 
-def bands(times: np.ndarray, rows: int, bits: int) -> np.ndarray:
-    """Codes of consecutive groups of ``rows`` registers, shape (bags, registers // rows); the group counts."""
-    raw = mix(times.view(np.uint64).reshape(len(times), -1, rows))
-    h = np.zeros(raw.shape[:2], np.uint64)
-    for j in range(rows):
-        h = h * np.uint64(0xD6E8FEB86659FD93) + raw[:, :, j]
-    return mix(h + np.arange(raw.shape[1], dtype=np.uint64)) >> np.uint64(64 - bits)
 
+def segments(codes: np.ndarray, rows: int, turns: int) -> np.ndarray:
+    """Code blocks: the fingerprint, and then ``turns`` - 1 permutations of it, cut into segments of ``rows`` registers.
 
-def sketch(times: np.ndarray) -> np.ndarray:
-    """One bit of each of the first 128 registers, as two signed 64-bit codes a bag, shape (bags, 2)."""
-    bits = np.zeros((len(times), 128), np.uint8)
-    held = min(128, times.shape[1])
-    bits[:, :held] = codes(np.ascontiguousarray(times[:, :held]), 1)
-    return np.packbits(bits, axis=1).view(">i8").astype(np.int64)
+    Shape (bags, turns x registers / rows). A block holds its segment's bits (8 a register) below its number.
+    """
+    n, registers = codes.shape
+    out = []
+    for turn in range(turns):
+        # the registers in steps of a number without a common divisor
+        step = 1 if not turn else next(k for k in range(registers * turn // turns + turn, 2 * registers) if math.gcd(k, registers) == 1)
+        cut = codes[:, np.arange(registers) * step % registers].reshape(n, -1, rows).astype(np.int64)
+        block = np.zeros(cut.shape[:2], np.int64)
+        for j in range(rows):
+            block = (block << 8) | cut[:, :, j]
+        out.append(block + ((turn * (registers // rows) + np.arange(registers // rows, dtype=np.int64)) << (8 * rows)))
+    return np.concatenate(out, axis=1)

@@ -1,9 +1,9 @@
 """Problem 6: texts of the evaluation splits that also occur in the train split, exactly or almost.
 
-This is the banded min-hash of p1, joined across the splits, in place of a similarity hash with segmented blocks: a text
-gets 120 registers of a min-wise hash over its word sequences; each block is a 24-bit hash of three whole registers, 40 in
-all. Blocks are joined across the splits only, pairs whose sketches (one bit a register, a code apart from the blocks)
-lie outside the radius are dropped, the rest is verified on the word sequences. (The README has the reason.)
+Every text gets a bit fingerprint: eight bits of each of 200 min-wise registers over its word sequences, 1,600 bits
+whose Hamming distance grows with the dissimilarity. The fingerprint and a permutation of it are cut into 80 code blocks of
+40 bits; blocks are joined across the splits only, pairs beyond the Hamming radius on that same fingerprint are dropped,
+the rest is verified on the word sequences. (The README has the figures for signs of random projections.)
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm.near_duplicates import HOT_BUCKET, fingerprints, keyed, similar_texts
-from inkmill.llm.shared import sketch_distance, slug
+from inkmill.llm.near_duplicates import RADIUS, candidate_pairs, fingerprints, keyed, similar_texts
+from inkmill.llm.shared import materialize, slug
 
 SPLITS = ("train", "validation", "test")
 
@@ -23,45 +23,18 @@ def clean_splits(splits: DataFrame) -> DataFrame:
     return named.groupBy("id").agg(F.min("split").alias("split"))
 
 
-def _across(prints: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a of an evaluation split, b of train) sharing a block within the radius.
-
-    All rows meet by block once; blocks that only one side has are dropped there. Blocks held by more than HOT_BUCKET
-    texts are joined in salted blocks, so no task gets more than about HOT_BUCKET texts of the evaluation side at a time.
-    """
-    rows = prints.select("text_key", "sketch", "in_eval", "in_train", F.explode("blocks").alias("block")).repartition("block")
-    held = {"held": F.expr("count(*) over (partition by block)"), "eval_side": F.expr("max(in_eval) over (partition by block)"), "train_side": F.expr("max(in_train) over (partition by block)")}
-    rows = rows.withColumns(held).where("held > 1 and eval_side and train_side").select("text_key", "sketch", "in_eval", "in_train", "block", "held")
-
-    def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        left = left.where("in_eval").select(*on, F.col("text_key").alias("a"), "sketch")
-        right = right.where("in_train").select(*on, F.col("text_key").alias("b"), F.col("sketch").alias("other"))
-        near = sketch_distance(F.col("sketch"), F.col("other")) <= radius
-        return left.join(right, on).where(near & (F.col("a") != F.col("b"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-
-    cold, hot = rows.where(F.col("held") <= HOT_BUCKET), rows.where(F.col("held") > HOT_BUCKET)
-    parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
-    salted = hot.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
-    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return pairs(cold, cold, ["block"]).unionByName(pairs(salted, spread, ["block", "salt"])).distinct()
-
-
-def cross_split_pairs(
-    records: DataFrame, splits: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 44
-) -> DataFrame:
+def cross_split_pairs(records: DataFrame, splits: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, radius: int = RADIUS) -> DataFrame:
     """(id_a, id_b, split_a, split_b): near-duplicate record pairs, id_a < id_b, one in train, one in validation or test.
 
     Ids without a split, null ids, null responses and responses under ``min_words`` words take no part. Repeated rows
     count once. Empty tables give no rows. Further columns of either table are ignored.
     """
     sides = clean_splits(splits)
-    keys = keyed(records).select("id", "text_key").distinct().join(sides, "id")
-    marks = keys.groupBy("text_key").agg(F.max(F.col("split") == "train").alias("in_train"), F.max(F.col("split") != "train").alias("in_eval"))
-    prints = fingerprints(keyed(records), words=signature_words, min_words=min_words, registers=registers, rows=rows, bits=24, weighted=False)
-    # the block's number goes above its 24 bits
-    numbered = F.transform("blocks", lambda c, i: F.shiftleft(i.cast("bigint"), 24) + c)
-    prints = prints.join(marks, "text_key").select("text_key", "sketch", numbered.alias("blocks"), "in_train", "in_eval")
-    links, members = similar_texts(records, similarity=similarity, sequence=sequence, min_words=min_words, pairs=_across(prints, radius))
+    rows = keyed(records)
+    keys = rows.select("id", "text_key").distinct().join(sides, "id")
+    marks = keys.groupBy("text_key").agg(F.bit_or(F.when(F.col("split") == "train", 1).otherwise(2)).alias("side"))
+    prints = materialize(fingerprints(rows, words=sequence, min_words=min_words, weighted=False).join(marks, "text_key"), "prints")
+    links, members = similar_texts(rows, similarity=similarity, sequence=sequence, min_words=min_words, pairs=candidate_pairs(prints, radius))
     members = members.join(sides, "id")
     a = members.select(F.col("text_key").alias("a"), F.col("id").alias("x"), F.col("split").alias("sx"))
     b = members.select(F.col("text_key").alias("b"), F.col("id").alias("y"), F.col("split").alias("sy"))

@@ -1,36 +1,61 @@
 """Problem 1: records whose response is mostly the same text.
 
-Every distinct response becomes a bag of word sequences and a BagMinHash signature; signatures are banded, bands are
-joined, pairs far apart by a 120-bit sketch are dropped, and what is left is verified on the sets of word sequences.
-Copies of one text travel once and are expanded by membership at the end.
+Every distinct response becomes a bag of word sequences, its BagMinHash registers a fingerprint of eight bits each. The
+fingerprint and a permutation of it are cut into code blocks; texts that share a block and whose fingerprints lie
+within a Hamming radius are verified on the sets of word sequences. Copies of one text travel once and are expanded by
+membership at the end.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm import bagminhash, wordstream
 from inkmill.llm.components import components
-from inkmill.llm.shared import materialize, sketch_distance, small
+from inkmill.llm.shared import join_sizes, materialize, small
 from inkmill.llm.wordstream import chunks
 
-#: Buckets above this many texts are joined in salted blocks of this size.
+#: A block of more texts than this is joined in salted parts of about this size.
 HOT_BUCKET = 2_000
+#: Most texts whose 64-bit hash is shared with a different text; about 300 are to be expected among 10**11 texts.
+MAX_CLASHES = 10_000
+#: The fingerprint: registers of eight bits, and registers in a code block. 200 registers cut twice make 80 blocks.
+REGISTERS, ROWS, TURNS = 200, 5, 2
+#: Bits of 1,600 in which the fingerprints of a pair may differ. 400 are to be expected at a similarity of a half, with a
+#: standard deviation of 32; unrelated texts differ in about 750.
+RADIUS = 528
 
 
-def fingerprints(texts: DataFrame, *, words: int, min_words: int, registers: int, rows: int, bits: int, weighted: bool) -> DataFrame:
-    """(text_key, sketch, blocks) for each row of ``texts`` (text_key bigint, text string) with enough words.
+def keyed(records: DataFrame, hashed: Column | None = None) -> DataFrame:
+    """(id, text_key, text) of the records that have an id and a response.
 
-    blocks holds registers / rows codes of ``bits`` bits. ``weighted`` keeps the multiplicities of the sequences.
+    The key is a 64-bit hash. Texts of one key are held against each other by a second hash; the keys for which that
+    differs (hardly ever any) are given anew from both hashes. ``hashed`` is another first hash, for tests.
+    """
+    key, second = F.xxhash64("response") if hashed is None else hashed, F.xxhash64(F.lit("second"), "response")
+    rows = records.where(F.col("id").isNotNull() & F.col("response").isNotNull()).select("id", key.alias("text_key"), F.col("response").alias("text"), second.alias("_c"))
+    mixed = rows.groupBy("text_key").agg(F.min("_c").alias("a"), F.max("_c").alias("b")).where("a <> b").select("text_key").limit(MAX_CLASHES + 1).collect()
+    if len(mixed) > MAX_CLASHES:
+        raise ValueError(f"more than {MAX_CLASHES} hashes stand for several texts each")
+    if mixed:
+        rows = rows.withColumn("text_key", F.when(F.col("text_key").isin(*[r["text_key"] for r in mixed]), F.xxhash64("_c", "text_key")).otherwise(F.col("text_key")))
+    return rows.select("id", "text_key", "text")
+
+
+def fingerprints(texts: DataFrame, *, words: int, min_words: int, weighted: bool, registers: int = REGISTERS) -> DataFrame:
+    """(text_key, code) of each distinct text of ``texts`` (text_key bigint, text string) with enough words.
+
+    ``weighted`` takes the multiplicities of the sequences into account, damped: a sequence held n times weighs
+    1 + log2(n) / 4, as the pairs are defined on sets.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        width = registers // rows
         for batch in batches:
             keys, column = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
             for a, b in chunks(column):
@@ -43,19 +68,13 @@ def fingerprints(texts: DataFrame, *, words: int, min_words: int, registers: int
                 n = int(enough.sum())
                 if not n:
                     continue
-                times = bagminhash.signatures(element, bag, count if weighted else np.ones(len(element)), n, registers)
-                code, sketch = bagminhash.bands(times, rows, bits).astype(np.int64), bagminhash.sketch(times)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(keys[a:b][enough]),
-                        pa.StructArray.from_arrays([pa.array(np.ascontiguousarray(sketch[:, k])) for k in (0, 1)], ["x", "y"]),
-                        pa.ListArray.from_arrays(pa.array(np.arange(0, (n + 1) * width, width, dtype=np.int32)), pa.array(code.ravel())),
-                    ],
-                    names=["text_key", "sketch", "blocks"],
-                )
+                times = bagminhash.signatures(element, bag, 1 + np.log2(count) / 4 if weighted else np.ones(len(element)), n, registers)
+                code = bagminhash.longs(bagminhash.code(times))
+                at = np.arange(0, (n + 1) * code.shape[1], code.shape[1], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(keys[a:b][enough]), pa.ListArray.from_arrays(pa.array(at), pa.array(code.ravel()))], names=["text_key", "code"])
 
-    found = texts.select("text_key", "text").mapInArrow(run, "text_key bigint, sketch struct<x:bigint,y:bigint>, blocks array<bigint>")
-    return found.groupBy("text_key").agg(F.first("sketch").alias("sketch"), F.first("blocks").alias("blocks"))
+    found = texts.select("text_key", "text").mapInArrow(run, "text_key bigint, code array<bigint>")
+    return found.groupBy("text_key").agg(F.first("code").alias("code"))
 
 
 def sequence_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -81,33 +100,50 @@ def sequence_sets(texts: DataFrame, words: int) -> DataFrame:
     return texts.select("text_key", "text").mapInArrow(run, "text_key bigint, n_words bigint, seqs array<bigint>")
 
 
-def keyed(records: DataFrame) -> DataFrame:
-    """(id, text_key, text) of the records that have an id and a response."""
-    return records.where(F.col("id").isNotNull() & F.col("response").isNotNull()).select("id", F.xxhash64("response").alias("text_key"), F.col("response").alias("text"))
+def block_rows(prints: DataFrame, rows: int = ROWS, turns: int = TURNS) -> DataFrame:
+    """(text_key, side, block): the code blocks of each fingerprint."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            codes = batch.column(2).flatten().to_numpy().reshape(n, -1).view(np.uint8)
+            block = bagminhash.segments(codes, rows, turns)
+            repeated = [np.repeat(batch.column(k).to_numpy(), block.shape[1]) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, repeated), pa.array(block.ravel())], names=["text_key", "side", "block"])
 
-def block_rows(prints: DataFrame) -> DataFrame:
-    return prints.select("text_key", "sketch", F.explode("blocks").alias("block"))
+    return prints.select("text_key", "side", "code").mapInArrow(run, "text_key bigint, side int, block bigint")
 
 
-def candidate_pairs(prints: DataFrame, radius: int) -> DataFrame:
-    """Pairs (a, b), a < b, of text keys that share a block and lie within ``radius`` bits by their sketches.
+def hamming(a: Column, b: Column, longs: int) -> Column:
+    """Bits in which two fingerprints differ."""
+    return reduce(lambda x, y: x + y, [F.bit_count(F.get(a, F.lit(i)).bitwiseXOR(F.get(b, F.lit(i)))) for i in range(longs)])
 
-    A block held by one text alone is dropped before the join. Blocks held by more than HOT_BUCKET texts are joined
-    in salted blocks, so no task gets more than HOT_BUCKET texts of one side at a time.
-    """
-    rows = block_rows(prints).repartition("block").withColumn("held", F.expr("count(*) over (partition by block)")).where("held > 1")
 
-    def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        right = right.select(*on, F.col("text_key").alias("b"), F.col("sketch").alias("other"))
-        joined = left.withColumnRenamed("text_key", "a").join(right, on)
-        return joined.where((F.col("a") < F.col("b")) & (sketch_distance(F.col("sketch"), F.col("other")) <= radius)).select("a", "b")
+def candidate_pairs(prints: DataFrame, radius: int = RADIUS, registers: int = REGISTERS) -> DataFrame:
+    """Pairs (a, b), a < b, of text keys that share a code block and whose fingerprints lie within ``radius`` bits.
+
+    ``prints`` is a written table (text_key, code, side). side is 1 or 2, or 3 for a text on both sides; one text of a
+    pair must be of side 1 and the other of side 2.
 
-    cold, hot = rows.where(F.col("held") <= HOT_BUCKET), rows.where(F.col("held") > HOT_BUCKET)
-    parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
-    salted = hot.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
-    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    return pairs(cold, cold, ["block"]).unionByName(pairs(salted, spread, ["block", "salt"])).distinct()
+    Blocks are counted by partial aggregates that also bring the least and greatest text, so a block of two texts is a
+    pair already and a block of one goes no further. Only the rows of larger blocks move again; of these a block
+    with more than HOT_BUCKET texts is cut into salted parts before it is joined. No task sees a whole hot block.
+    """
+    rows = block_rows(prints)
+    met = materialize(rows.groupBy("block").agg(F.count("*").alias("n"), F.min("text_key").alias("a"), F.max("text_key").alias("b"), F.bit_or("side").alias("side")).where("n > 1 and side = 3"), "blocks")
+    more = met.where("n > 2").select("block", "n")
+    held = materialize(join_sizes(rows, small(more, 500_000), "block", hot=HOT_BUCKET), "held")
+    parts = F.ceil(F.col("n") / HOT_BUCKET).cast("int")
+    left = held.select("block", F.col("text_key").alias("a"), F.col("side").alias("sa"), F.pmod("text_key", parts).cast("int").alias("salt"))
+    right = held.select("block", F.col("text_key").alias("b"), F.col("side").alias("sb"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("salt"))
+    across = F.col("sa").bitwiseOR(F.col("sb")) == 3
+    joined = left.join(right, ["block", "salt"]).where((F.col("a") < F.col("b")) & across).select("a", "b")
+    pairs = met.where("n = 2").select("a", "b").union(joined).distinct()
+    codes = [prints.select(F.col("text_key").alias(k), F.col("code").alias(f"c{k}"), F.col("side").alias(f"s{k}")) for k in "ab"]
+    near = hamming(F.col("ca"), F.col("cb"), registers // 8) <= radius
+    return pairs.join(codes[0], "a").join(codes[1], "b").where(near & across).select("a", "b")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, min_words: int, similarity: float) -> DataFrame:
@@ -120,29 +156,28 @@ def verified(pairs: DataFrame, sets: DataFrame, min_words: int, similarity: floa
     return joined.where(F.col("both") >= similarity * (F.size("sa") + F.size("sb") - F.col("both"))).select("a", "b")
 
 
-def similar_texts(records: DataFrame, *, similarity: float, sequence: int, min_words: int, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Exact check of candidate pairs.
+def similar_texts(rows: DataFrame, *, similarity: float, sequence: int, min_words: int, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Exact check of candidate pairs among ``rows`` (see ``keyed``).
 
     Returns the verified pairs of text keys, each text that has copies also with itself, and the membership
     (text_key, id) of all records.
     """
-    members = keyed(records).select("text_key", "id").distinct()
+    members = rows.select("text_key", "id").distinct()
     copied = members.groupBy("text_key").count().where("count > 1").select("text_key")
     pairs = materialize(pairs, "pairs")
     wanted = materialize(pairs.select(F.col("a").alias("text_key")).union(pairs.select("b")).union(copied).distinct(), "wanted")
-    texts = keyed(records).join(small(wanted, 500_000), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
+    texts = rows.join(small(wanted, 500_000), "text_key", "left_semi").groupBy("text_key").agg(F.first("text").alias("text"))
     sets = materialize(sequence_sets(texts, sequence), "sets")
     near = verified(pairs, sets, min_words, similarity)
     same = sets.where(F.col("n_words") >= min_words).join(copied, "text_key", "left_semi").select(F.col("text_key").alias("a"), F.col("text_key").alias("b"))
     return materialize(near.union(same), "links"), members
 
 
-def near_duplicate_links(
-    records: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, signature_words: int = 4, registers: int = 120, rows: int = 3, radius: int = 44
-) -> tuple[DataFrame, DataFrame]:
-    """Verified links between response texts and the membership of the records; see ``similar_texts``."""
-    prints = fingerprints(keyed(records), words=signature_words, min_words=min_words, registers=registers, rows=rows, bits=44, weighted=True)
-    return similar_texts(records, similarity=similarity, sequence=sequence, min_words=min_words, pairs=candidate_pairs(prints, radius))
+def near_duplicate_links(records: DataFrame, *, similarity: float = 0.5, sequence: int = 3, min_words: int = 60, radius: int = RADIUS, hashed: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Verified links between response texts, the membership of the records (see ``similar_texts``), and the keyed rows."""
+    rows = keyed(records, hashed)
+    prints = materialize(fingerprints(rows, words=sequence, min_words=min_words, weighted=True).withColumn("side", F.lit(3)), "prints")
+    return *similar_texts(rows, similarity=similarity, sequence=sequence, min_words=min_words, pairs=candidate_pairs(prints, radius)), rows
 
 
 def expand(links: DataFrame, members: DataFrame) -> DataFrame:
@@ -159,7 +194,8 @@ def near_duplicate_pairs(records: DataFrame, **parameters: object) -> DataFrame:
     Null ids and null responses take no part; responses under ``min_words`` words (empty ones too) have no pairs;
     repeated rows count once; an empty table gives no rows; other columns are ignored.
     """
-    return expand(*near_duplicate_links(records, **parameters))
+    links, members, _ = near_duplicate_links(records, **parameters)
+    return expand(links, members)
 
 
 def small_sets(texts: DataFrame, words: int, most: int) -> DataFrame:
@@ -200,7 +236,7 @@ def small_sets(texts: DataFrame, words: int, most: int) -> DataFrame:
     return found.groupBy("text_key").agg(F.first("n_words").alias("n_words"), F.first("seqs").alias("seqs"))
 
 
-def short_links(records: DataFrame, *, similarity: float, sequence: int, below: int) -> DataFrame:
+def short_links(texts: DataFrame, *, similarity: float, sequence: int, below: int) -> DataFrame:
     """(a, b), a < b: text keys whose sets of sequences overlap by ``similarity``, at least one with under ``below`` words.
 
     Banding would lose pairs of so few sequences, so this is an exact join. The sequences of every text are put in one
@@ -208,15 +244,15 @@ def short_links(records: DataFrame, *, similarity: float, sequence: int, below:
     leave room for the overlap. A longer text takes part while it has so few distinct sequences that it can overlap a
     short one.
     """
-    sets = materialize(small_sets(keyed(records), sequence, int(max(1, below - sequence) / similarity)), "short")
+    sets = materialize(small_sets(texts, sequence, int(max(1, below - sequence) / similarity)), "short")
     share = similarity / (1 + similarity)
     least = lambda x: F.ceil(x - F.lit(1e-9))
     rows = sets.select("text_key", (F.col("n_words") < below).alias("short"), F.size("seqs").alias("size"), F.explode("seqs").alias("seq"))
-    rows = rows.withColumn("held", F.expr("count(*) over (partition by seq)"))
-    rows = rows.withColumn("place", F.expr("row_number() over (partition by text_key order by held, seq)"))
-    first = rows.where((F.col("held") > 1) & (F.col("place") <= F.col("size") - least(F.col("size") * similarity) + 1))
-    met = {"held": F.expr("count(*) over (partition by seq)"), "any_short": F.expr("max(short) over (partition by seq)")}
-    first = first.drop("held").repartition("seq").withColumns(met).where("held > 1 and any_short").drop("any_short")
+    met = materialize(rows.groupBy("seq").agg(F.count("*").alias("n"), F.max("short").alias("s")).where("n > 1 and s").select("seq", "n"), "met")
+    # a sequence that no other text has, or long ones alone, counts as held once
+    rows = join_sizes(rows, met, "seq", hot=HOT_BUCKET, how="left").withColumn("n", F.coalesce("n", F.lit(1)))
+    rows = rows.withColumn("place", F.expr("row_number() over (partition by text_key order by n, seq)"))
+    first = materialize(rows.where((F.col("n") > 1) & (F.col("place") <= F.col("size") - least(F.col("size") * similarity) + 1)), "first")
 
     def pairs(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
         # the smaller set stands on the left, where fewer places are enough
@@ -226,11 +262,10 @@ def short_links(records: DataFrame, *, similarity: float, sequence: int, below:
         ordered = F.expr("na < nb or (na = nb and a < b)") & (F.col("na") >= F.col("nb") * similarity)
         return left.join(right, on).where(ordered & (F.col("sa") | F.col("sb")) & room).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
-    cold, hot = first.where(F.col("held") <= HOT_BUCKET), first.where(F.col("held") > HOT_BUCKET)
-    parts = F.ceil(F.col("held") / HOT_BUCKET).cast("int")
-    salted = hot.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
-    spread = hot.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
-    found = materialize(pairs(cold, cold, ["seq"]).unionByName(pairs(salted, spread, ["seq", "salt"])).distinct(), "short-pairs")
+    parts = F.ceil(F.col("n") / HOT_BUCKET).cast("int")
+    salted = first.withColumn("salt", F.pmod(F.col("text_key"), parts).cast("int"))
+    spread = first.withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1)))
+    found = materialize(pairs(salted, spread, ["seq", "salt"]).distinct(), "short-pairs")
     return verified(found, sets, 1, similarity)
 
 
@@ -243,12 +278,13 @@ def near_duplicate_groups(records: DataFrame, *, similarity: float = 0.5, sequen
     linked when their words are equal, texts without words when they are equal themselves. Records without links form
     groups of their own text; a record without a response has a null group.
     """
-    links, members = near_duplicate_links(records, similarity=similarity, sequence=sequence, min_words=min_words, **parameters)
-    edges = materialize(links.where("a <> b").union(short_links(records, similarity=similarity, sequence=sequence, below=min_words)), "edges")
+    links, _, rows = near_duplicate_links(records, similarity=similarity, sequence=sequence, min_words=min_words, **parameters)
+    edges = materialize(links.where("a <> b").union(short_links(rows, similarity=similarity, sequence=sequence, below=min_words)), "edges")
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     degree = both.groupBy("a").agg(F.count("*").alias("links"))
     label = components(edges.select(F.col("a").alias("src"), F.col("b").alias("dst")))
-    ids = records.where("id is not null").groupBy("id").agg(F.first(F.xxhash64("response"), ignorenulls=True).alias("k"), F.max(F.col("response").isNotNull()).alias("has"))
-    ids = ids.select("id", F.when(F.col("has"), F.col("k")).alias("text_key"))
-    out = ids.join(label.select(F.col("node").alias("text_key"), "component"), "text_key", "left").join(degree.withColumnRenamed("a", "text_key"), "text_key", "left")
+    # an id that is given several texts takes the smallest key
+    keys = rows.groupBy("id").agg(F.min("text_key").alias("text_key"))
+    out = records.where("id is not null").select("id").distinct().join(keys, "id", "left")
+    out = out.join(label.select(F.col("node").alias("text_key"), "component"), "text_key", "left").join(degree.withColumnRenamed("a", "text_key"), "text_key", "left")
     return out.select("id", F.coalesce("component", "text_key").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))

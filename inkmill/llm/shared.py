@@ -13,9 +13,12 @@ _WRITTEN: list[tuple[object, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or a local one where it is unset (tests)."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset, a session in one process (tests) gets a
+    folder of its own; on a cluster that raises, as no machine's own folder would do."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="inkmill-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -58,6 +61,20 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def join_sizes(rows: DataFrame, sizes: DataFrame, key: str, *, count: str = "n", hot: int = 100_000, how: str = "inner") -> DataFrame:
+    """Join rows with the one row that ``sizes`` (a written table) has for their key, with ``count`` rows of the key.
+
+    Keys with over ``hot`` rows go by broadcast, so their rows stay where they are: no task gets all rows of one key.
+    There are at most rows / hot of them; from a million on they are joined by shuffle like the rest.
+    """
+    heavy = sizes.where(F.col(count) > hot)
+    if heavy.isEmpty():
+        return rows.join(sizes, key, how)
+    marked = rows.join(small(heavy.withColumn("_heavy", F.lit(True)), 1_000_000), key, "left")
+    rest = marked.where("_heavy is null").select(*rows.columns).join(sizes.where(F.col(count) <= hot), key, how)
+    return marked.where("_heavy").drop("_heavy").unionByName(rest)
+
+
 def slug(c: Column) -> Column:
     """One spelling of a name or label: trimmed, lower case, runs of blanks, - and _ as one _; null when blank."""
     s = F.regexp_replace(F.trim(F.lower(F.regexp_replace(c, r"[\s ]+", " "))), r"[-_ ]+", "_")
@@ -87,6 +104,3 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def sketch_distance(a: Column, b: Column) -> Column:
-    """Hamming distance of two sketches, structs of two 64-bit codes."""
-    return F.bit_count(a["x"].bitwiseXOR(b["x"])) + F.bit_count(a["y"].bitwiseXOR(b["y"]))

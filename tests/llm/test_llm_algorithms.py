@@ -53,6 +53,39 @@ def test_bagminhash_does_not_depend_on_company():
     assert bagminhash.signatures(e[:0], np.zeros(0, np.int64), w[:0], 2, 8).shape == (2, 8)
 
 
+def test_code_blocks():
+    r = np.random.default_rng(3)
+    times = r.random((3, 200))
+    times[1, :150] = times[0, :150]
+    code = bagminhash.code(times)
+    block = bagminhash.segments(code, 5, 2)
+    assert code.shape == (3, 200) and block.shape == (3, 80) and len(np.unique(block[0] >> 40)) == 80
+    # the first cut has the registers in order: three quarters of the segments are those of the other text
+    assert (block[0] == block[1])[:40].sum() == 30 and not (block[0] == block[2]).any()
+    bits = np.unpackbits(code, axis=1)
+    assert 150 < (bits[0] != bits[1]).sum() < 250 and 700 < (bits[0] != bits[2]).sum() < 900
+    # the second cut uses every register once, in other company
+    one = np.zeros((1, 200), np.uint8)
+    seen = [int((bagminhash.segments(one + (np.arange(200) == k), 5, 2)[0] != bagminhash.segments(one, 5, 2)[0]).sum()) for k in range(200)]
+    assert seen == [2] * 200
+
+
+@pytest.mark.parametrize(("similarity", "least"), [(0.5, 0.85), (0.55, 0.93), (0.6, 0.97), (0.7, 0.999)])
+def test_recall_of_code_blocks(similarity, least):
+    """Share of pairs of a given similarity that meet in a block within the radius."""
+    from inkmill.llm.near_duplicates import RADIUS, REGISTERS, ROWS, TURNS
+
+    r, n, size = np.random.default_rng(8), 800, 150
+    common = round(2 * size * similarity / (1 + similarity))
+    element = r.integers(0, 1 << 44, (n, 2, size)).astype(np.uint64)
+    element[:, 1, :common] = element[:, 0, :common]
+    times = bagminhash.signatures(element.ravel(), np.repeat(np.arange(2 * n), size), np.ones(2 * n * size), 2 * n, REGISTERS)
+    code = bagminhash.code(times)
+    block = bagminhash.segments(code, ROWS, TURNS)
+    near = np.unpackbits(code[0::2] ^ code[1::2], axis=1).sum(axis=1) <= RADIUS
+    assert ((block[0::2] == block[1::2]).any(axis=1) & near).mean() >= least and near.mean() > 0.998
+
+
 RANKS = Path(encoding.TOKENIZERS) / encoding.RANK_FILE
 
 
