@@ -2,31 +2,39 @@
 
 The field is trained on the labelled table of ``pii_table`` over word shapes, word lists and neighbours. Stretches of
 a text that could hold personal data (around digits, at-signs and capitalised neighbours) are decoded by Viterbi, all
-stretches of a batch side by side; elsewhere only the outside label is possible. A span found is then held against
-the form of its type, which also settles its first character.
+stretches of a batch side by side; elsewhere only the outside label is possible. The field decides what a span is; its
+first and last character are then set by its type.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
+import inspect
+import itertools
+import random
 import re
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from inkmill.llm import crf
-from inkmill.llm.lang_samples import SAMPLES
-from inkmill.llm.pii_table import TYPES, labelled_table
+from inkmill.llm import crf, pii_table
+from inkmill.llm.encoding import TOKENIZERS
+from inkmill.llm.pii_table import FAMILY, GIVEN, PLACES, TYPES, labelled_table
 from inkmill.llm.wordstream import chunks, mix, powers
 
 LABELS = ("O", *(f"{p}-{t}" for t in TYPES for p in "BI"))
 GAPS = 4  # none, blank, several blanks, start of a line
 REACH = 5
+#: Public vocabularies that tell ordinary words.
+VOCABULARIES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
 #: Most name forms that are held in memory; the check is made before they are sent to the executors.
 MAX_NAME_FORMS = 500_000
 _SKIP, _LETTER, _DIGIT, _LINE, _MARK = range(5)
@@ -83,34 +91,102 @@ class Tokens:
     def text(self, i: int) -> str:
         return self.joined[self.first[i] : self.last[i]]
 
+    def places(self, shapes: dict[str, int]) -> np.ndarray:
+        """What holds for a token at its place: the gap before it, and the shape of the number that it is part of."""
+        out = self.gap.copy()
+        for m in _NUMBERS.finditer(self.joined):
+            shape = number_shape(m.group())
+            known = shapes.get(shape) or shapes.get(shape.removeprefix("0:")) or loose_shape(shape)
+            out[np.searchsorted(self.first, m.start()) : np.searchsorted(self.first, m.end())] += GAPS * known
+        return out
 
-def token_features(token: str, given: object, family: object) -> list[str]:
-    """Word-shape features of a token; ``given`` and ``family`` answer ``in`` for known name forms in lower case."""
-    if token[0].isdigit():
-        return [f"n{min(len(token), 13)}", f"n0{min(len(token), 13)}" if token[0] == "0" else "n+", "n555" if token == "555" else "n?"]
-    if not unicodedata.category(token[0])[0] in "LM":
-        return [f"m{token}"]
-    low = token.lower()
-    size = "1" if len(token) == 1 else "2" if len(token) == 2 else "+"
-    shape = "X" if token.isupper() else "Xx" if token[0].isupper() else "x" if token.islower() else "xX"
-    out = [f"s{shape}{size}", f"w{low}"] + ["street"] * (len(low) > 5 and low.endswith(STREET_ENDS))
-    out += [f"g{shape}"] * (low in given) + [f"f{shape}"] * (low in family)
-    return out
+
+#: Digits with what may stand within and around a number: separators, a plus or bracket before, single capitals.
+_NUMBERS = re.compile(r"\b[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-Z]\b|\b[XYZ]-?\d{7}-?[A-Z]\b|[+(]{0,2}\d(?:[\d()/ \u00a0.-]*\d)?(?:[ -]?[A-Z]\b)?")
+_DIGITS, _CAPITAL = re.compile(r"\d+"), re.compile(r"[A-Z]")
+#: Classes of numbers whose shape is not known by itself: two kinds of beginning and six of length.
+LOOSE = 12
+
+
+def number_shape(number: str) -> str:
+    """A number with its runs of digits as their lengths, 0 first where it begins with one; capitals as A."""
+    if number.count("(") > number.count(")"):
+        number = number.replace("(", "", 1)
+    shape = _DIGITS.sub(lambda m: str(len(m.group())), _CAPITAL.sub("A", number.replace("\u00a0", " ")))
+    return ("0:" if number.lstrip("(+")[:1] == "0" else "") + shape
 
 
-#: Ends of German street names (fixed values).
-STREET_ENDS = ("straße", "strasse", "gasse", "weg", "platz", "str", "allee", "ufer", "ring", "damm")
-#: What is taken off the score of the outside label: a doubtful span is kept, since its form is checked afterwards.
+def loose_shape(shape: str) -> int:
+    """1 to LOOSE, by how a number begins and how many digits it has."""
+    digits = sum(map(int, _DIGITS.findall(shape.removeprefix("0:"))))
+    return 1 + 6 * (shape[0] in "0+(") + int(np.searchsorted((6, 8, 10, 12, 16), digits, "right"))
+
+
+#: Ends of German street names, and street words of four languages (fixed values).
+STREET_ENDS = ("straße", "strasse", "gasse", "weg", "platz", "str", "allee", "ufer", "ring", "damm", "steig")
+STREETS = frozenset(
+    """street st road rd lane ln avenue ave drive dr close court ct way grove place terrace crescent gardens hill row walk mews square park boulevard blvd green rise view parade quay
+    rue quai allée chemin impasse cours passage route bis ter calle avenida avda plaza paseo camino ronda travesía am auf zum zur unter flat""".split()
+)
+TITLES = frozenset("mr mrs ms miss dr prof professor sir herr herrn frau mme mlle madame monsieur señor señora sr sra don doña doktor doctor captain judge nurse".split())
+PARTICLES = frozenset("de la von van del di da du dos le al el bin ben mac mc san st zu y ibn".split())
+#: What is taken off the score of the outside label: a doubtful span is kept.
 OUTSIDE_PENALTY = 1.0
-#: Most words of a name: three given names and two of the family.
-MAX_NAME_WORDS = 5
+#: Of this, what is taken off the scores of the types that prose resembles too much.
+DOUBTFUL = {"address": 0.4, "name": 0.3}
 #: Most features of a token.
-WIDTH = 5
+WIDTH = 8
+
+
+class Lists:
+    """What a token is looked up in: known given and family names in lower case, and the words that the public vocabularies
+    hold whole, as they are written after a blank."""
 
+    def __init__(self, given: object, family: object, words: object) -> None:
+        self.given, self.family, self.words = given, family, words
 
-def feature_rows(tokens: Iterable[str], index: dict[str, int], given: object, family: object) -> np.ndarray:
+
+def vocabulary(folder: str = TOKENIZERS) -> frozenset[str]:
+    """The words of letters that a public vocabulary (of English, of many languages) has as one entry after a blank."""
+    found = set()
+    for name in VOCABULARIES:
+        with open(f"{folder}/{name}", "rb") as f:
+            for line in f:
+                piece = base64.b64decode(line.split()[0])
+                if piece[:1] == b" ":
+                    word = piece[1:].decode("utf-8", "ignore")
+                    if len(word) > 1 and word.isalpha():
+                        found.add(word)
+    return frozenset(found)
+
+
+def token_features(token: str, lists: Lists) -> list[str]:
+    """Features of a token: shape and size, the word itself, whether it is an ordinary word, a known name, a street word."""
+    if token[0].isdigit():
+        return [f"n{min(len(token), 16)}", f"n0{min(len(token), 16)}" if token[0] == "0" else "n+", "year" if len(token) == 4 and token[:2] in ("17", "18", "19", "20") else "n?"]
+    if not unicodedata.category(token[0])[0] in "LM":
+        return [f"m{token}"]
+    low = token.lower()
+    size = "1" if len(token) == 1 else "2" if len(token) == 2 else "+"
+    shape = "X" if token.isupper() else "Xx" if token[0].isupper() else "x" if token.islower() else "xX"
+    # an ordinary word is known in small letters, a name often with a capital alone
+    known = ("l" if low in lists.words else "") + ("c" if token.capitalize() in lists.words else "")
+    out = [f"s{shape}{size}", f"w{low}", f"k{shape}{known}"]
+    if low in STREETS:
+        out.append("street")
+    elif len(low) > 5 and low.endswith(STREET_ENDS):
+        out.append("streetend")
+    if low in TITLES:
+        out.append("title")
+    if low in PARTICLES:
+        out.append(f"particle{shape}")
+    out += [f"g{shape}"] * (low in lists.given) + [f"f{shape}"] * (low in lists.family)
+    return out[:WIDTH]
+
+
+def feature_rows(tokens: Iterable[str], index: dict[str, int], lists: Iterable[Lists]) -> np.ndarray:
     """Feature numbers of each token, padded with 0, which stands for no feature. An empty token has none."""
-    rows = [[index[f] for f in (token_features(w, given, family) if w else ()) if f in index] for w in tokens]
+    rows = [[index[f] for f in (token_features(w, held) if w else ()) if f in index] for w, held in zip(tokens, lists)]
     out = np.zeros((len(rows), WIDTH), np.int64)
     for i, r in enumerate(rows):
         out[i, : len(r)] = r
@@ -120,9 +196,9 @@ def feature_rows(tokens: Iterable[str], index: dict[str, int], given: object, fa
 class Tagger:
     """The trained field with the feature rows and scores of the token types seen so far."""
 
-    def __init__(self, given: object, family: object) -> None:
-        self.index, self.model = _trained()
-        self.given, self.family = given, family
+    def __init__(self, given: object, family: object, trained: tuple | None = None) -> None:
+        self.index, self.shapes, self.model, words = trained or model()
+        self.lists = Lists(given, family, words)
         self._forget()
 
     def _forget(self) -> None:
@@ -143,7 +219,7 @@ class Tagger:
                 fresh.append(int(at[k]))
             numbers[k] = n
         if fresh:
-            rows = feature_rows((tokens.text(i) for i in fresh), self.index, self.given, self.family)
+            rows = feature_rows((tokens.text(i) for i in fresh), self.index, itertools.repeat(self.lists))
             while self.used + len(fresh) > self.scores.shape[1]:
                 self.scores = np.concatenate((self.scores, np.zeros_like(self.scores)), axis=1)
             self.scores[:, self.used : self.used + len(fresh)] = crf.token_scores(self.model, rows)
@@ -164,10 +240,10 @@ class Tagger:
         types = self.types(t)
         reach = max(crf.OFFSETS)
         padded = np.concatenate((np.zeros(reach, np.int64), types, np.zeros(reach, np.int64)))
-        score = self.model.gap.astype(np.float32)[t.gap[inside]]
+        score = self.model.gap.astype(np.float32)[t.places(self.shapes)[inside]]
         for k, o in enumerate(crf.OFFSETS):
             score = score + self.scores[k][padded[inside + reach + o]]
-        score[:, 0] -= OUTSIDE_PENALTY
+        score += _BIAS
         at = np.searchsorted(inside, begins)
         label = crf.viterbi(score, at, lengths, self.model.move, self.model.allowed, _START)
         hot = np.flatnonzero(label)
@@ -216,79 +292,82 @@ def stretches(t: Tokens) -> tuple[np.ndarray, np.ndarray]:
     return begin, end - begin
 
 
-_LOCAL = r"[^\W_](?:[\w.+%-]*\w)?"
-_AT, _DOT = r"\s?@\s?|\s?[(\[{]\s?at\s?[)\]}]\s?|\s+at\s+", r"\.|\s?[(\[{]\s?dot\s?[)\]}]\s?|\s+dot\s+"
-_EMAIL = re.compile(rf"{_LOCAL}(?:{_AT})[^\W_][\w-]*(?:(?:{_DOT})[^\W_][\w-]*)+", re.IGNORECASE)
-_PHONE = re.compile(r"(?!\d{4}-\d\d-\d\d(?!\d))(?:\+\d|\(\d|\d)(?:[\d()/ \u00a0\u202f-]|\.(?=\d))*\d")
-_ID = re.compile(r"\b(?:\d{3}[- ]\d{2}[- ]\d{4}|[A-Z]{2} ?\d\d ?\d\d ?\d\d ?[A-Z]|\d{2} \d{3} \d{3} \d{3}|\d{11}|[XYZ]?-?\d{7,8}-?[A-Z]|[12] ?\d\d ?\d\d ?\d\d ?\d{3} ?\d{3} ?\d\d)\b")
-_ID_ONLY = re.compile(r"\d{2} \d{3} \d{3} \d{3}|\d{3}-\d{2}-\d{4}")
-_FORMS = {"email": (_EMAIL, 80), "phone": (_PHONE, 24), "id_number": (_ID, 24)}
-_TITLE = re.compile(r"(?:(?:mr|mrs|ms|miss|dr|prof|sir|herr|frau|mme|mlle|madame|monsieur|señora?|sra?|doña|don)\b\.?\s*)+", re.IGNORECASE)
-
-
-#: Street words before or after a name (fixed values), and what may stand between a number and a street.
-_BEFORE = r"calle|avenida|avda|plaza|paseo|camino|ronda|c/|rue|quai|place|avenue|boulevard|allée|impasse|chemin|cours|square"
-_AFTER = r"street|st|road|rd|lane|ln|terrace|avenue|ave|boulevard|blvd|way|close|square|drive|court|crescent|row|gardens"
-#: Words that are no names: those of the sample passages, and salutations (fixed values).
-_PLAIN = frozenset(re.findall(r"[^\W\d_]+", " ".join(SAMPLES.values()).lower())) | frozenset("dear cher chère liebe lieber querido querida eines morgens kapitel chapter herzliche grüße institute prize bridge street".split())
-_STREET = re.compile(rf"(?:{_BEFORE})\W", re.IGNORECASE)
-_NUMBER = r"\d{1,5}\s?[a-z]?(?:\s?[-–]\s?\d{1,5}[a-z]?)?"
-_PLACES = (
-    re.compile(rf"(?<!\w)(?:calle|avenida|avda\.?|plaza|paseo|camino|ronda|c/)\s?[^\n\d]{{2,40}}?,?\s(?:n\.?[º°o]\.?\s?)?{_NUMBER}(?!\w)", re.IGNORECASE),
-    re.compile(rf"(?<![\w/-]){_NUMBER}(?:\s(?:bis|ter))?,?\s+(?:{_BEFORE})\s+[^\n\d,;.]{{2,40}}", re.IGNORECASE),
-    re.compile(rf"(?<![\w/-]){_NUMBER},?\s+(?:[^\W\d_]+\.?\s+){{1,4}}(?:{_AFTER})\b\.?", re.IGNORECASE),
-    re.compile(rf"(?<!\w)(?:am|an der|auf dem|auf der|zum|zur|unter den) [^\W\d_]+(?: [^\W\d_]+)?\s+{_NUMBER}(?!\w)", re.IGNORECASE),
-    re.compile(rf"(?<!\w)[^\W\d_]*(?:{'|'.join(STREET_ENDS)})\.?\s+{_NUMBER}(?!\w)", re.IGNORECASE),
-)
+#: What belongs to an address of mail, and to a phone number, next to what was found.
+_MAIL, _DIAL = frozenset(".+%-_'"), frozenset("+(0123456789")
+_AT = re.compile(r"\s*[(\[{]?\s*(?:@|\bat\b)", re.IGNORECASE)
+_SENTENCE_END = re.compile(r"(?<=[a-zß-ÿ]{4})[.!?]\s+(?=[^\W\d_a-zß-ÿ])")
+_NUMBER = re.compile(r"(?<![\w/.-])\d{1,5}\s?[A-Za-z]?(?:\s?[-/]\s?\d{1,5}[A-Za-z]?)?(?:\s(?:bis|ter))?,?\s+\Z", re.IGNORECASE)
+#: Words of two letters or more; a dot ends a name unless it follows an initial.
+_NAME_WORD, _NAME_PART = re.compile(r"[^\W\d_]{2,}"), re.compile(r"(?:[^.\n\r]|(?<=\b\w)\.|(?<=\bSt)\.)+")
 
 
-def settle_address(text: str, a: int, b: int) -> tuple[int, int] | None:
-    """Place of an address that begins within a span: number and street, from whichever comes first."""
-    line = text.find("\n", b)
-    room = text[: min(b + 24, line if line >= 0 else len(text))]
-    found = [m.span() for p in _PLACES if (m := p.search(room, a))]
-    found = [f for f in found if f[0] < b]
-    return min(found) if found else None
+#: Digits that a phone number has at least; digits and letters of an identity number.
+LEAST_DIGITS, LEAST_SIGNS = 7, 8
 
 
 def settle_name(text: str, a: int, b: int) -> list[tuple[str, int, int]]:
-    """Places of full names in a span: it is cut where a sentence ends, titles go, single names don't count."""
+    """Places of full names in a span: it is cut where a sentence ends, titles and small words before them go, single names don't count."""
     out = []
-    for part in re.finditer(r"(?:[^.\n]|(?<=\b\w)\.)+", text[a:b]):
-        s, e = a + part.start(), a + part.end()
+    for part in _NAME_PART.finditer(text, a, b):
+        s, e = part.span()
         while s < e and not text[s].isalpha():
             s += 1
         while e > s and not text[e - 1].isalpha():
             e -= 1
-        if m := _TITLE.match(text, s, e):
-            s = m.end()
-        words = re.findall(r"[^\W\d_]{2,}", text[s:e])
-        if 2 <= len(words) <= MAX_NAME_WORDS and all(w[0].isupper() and w.lower() not in _PLAIN for w in words):
+        words = _NAME_WORD.findall(text, s, e)
+        while words and (words[0].lower() in TITLES or words[0].islower() and "," not in text[s:e]):
+            s = text.index(words[0], s) + len(words[0])
+            while s < e and not text[s].isalpha():
+                s += 1
+            words = words[1:]
+        if len(words) >= 2:
             out.append(("name", s, e))
     return out
 
 
 def settle(kind: str, text: str, a: int, b: int) -> list[tuple[str, int, int]]:
-    """The exact places of a decoded span; none when it hasn't the form of its type."""
-    if kind in _FORMS:
-        pattern, room = _FORMS[kind]
-        left = max(0, a - room, text.rfind("\n", 0, a) + 1, text.rfind("\r", 0, a) + 1)
-        for m in pattern.finditer(text[left : b + room]):
-            s, e = m.start() + left, m.end() + left
-            if s < b and e > a:
-                if kind == "phone" and _ID_ONLY.fullmatch(m.group()):
-                    return [("id_number", s, e)]
-                if kind == "phone" and not 8 <= sum(c.isdigit() for c in text[s:e]) <= 15:
-                    continue
-                return [(kind, s, e)]
-        return []
-    while b > a and text[b - 1] in " ,;.":
-        b -= 1
-    if kind == "name" and not _STREET.match(text, a):
+    """The places of a decoded span; the field decides what it is, here its ends are set.
+
+    A span that can't be of its type by definition goes: a number that is too short, an address without a number or
+    without a street, an address of mail without an at, a name of one word.
+    """
+    if kind == "name":
         return settle_name(text, a, b)
-    place = settle_address(text, a, b)
-    # a name that was read as the head of the address
-    return [("address", *place), *(settle_name(text, a, place[0]) if place[0] - a > 5 else [])] if place else []
+    while a < b and not (text[a].isalnum() or kind == "phone" and text[a] in "+("):
+        a += 1
+    while b > a and not (text[b - 1].isalnum() or kind == "address" and text[b - 1] == "."):
+        b -= 1
+    if kind == "email":
+        at = _AT.search(text, a, b)
+        if not at:
+            return []
+        a = at.start()
+        while a and (text[a - 1].isalnum() or text[a - 1] in _MAIL):
+            a -= 1
+        while a < at.start() and not text[a].isalnum():
+            a += 1
+        while b < len(text) and text[b].isalnum():
+            b += 1
+        return [(kind, a, b)] if a < at.start() else []
+    if kind == "address":
+        if m := _NUMBER.search(text, max(0, a - 16), a):
+            a = m.start()
+        room = text[b : b + 8]
+        if not any(c.isdigit() for c in text[a:b]) and (m := re.match(r"[.,]?\s(?:n\S{0,3}\s?)?\d{1,5}\b", room)):
+            b += m.end()
+        if m := _SENTENCE_END.search(text, a, b):
+            b = m.start() + 1
+        words = _NAME_WORD.findall(text, a, b)
+        street = any(w[0].isupper() or w.lower() in STREETS or w.lower().endswith(STREET_ENDS) for w in words)
+        return [(kind, a, b)] if street and any(c.isdigit() for c in text[a:b]) else []
+    while a and (text[a - 1].isalnum() if kind == "id_number" else text[a - 1] in _DIAL):
+        a -= 1
+    while b < len(text) and text[b].isalnum() and (kind == "id_number" or text[b].isdigit()):
+        b += 1
+    # a bracket that closes behind the number, or nowhere, stands around it
+    while a < b and text[a] == "(" and not any(map(str.isdigit, text[a:b].partition(")")[2])):
+        a += 1
+    return [(kind, a, b)] if (sum(map(str.isdigit, text[a:b])) >= LEAST_DIGITS if kind == "phone" else sum(map(str.isalnum, text[a:b])) >= LEAST_SIGNS) else []
 
 
 def merged(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
@@ -302,34 +381,87 @@ def merged(spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
     return out
 
 
+_BIAS = np.array([-OUTSIDE_PENALTY if x == "O" else -DOUBTFUL.get(x[2:], 0.0) for x in LABELS], np.float32)
 _START = np.array([not x.startswith("I") for x in LABELS])
 _ALLOWED = np.array([[not b.startswith("I") or a[2:] == b[2:] and a != "O" for b in LABELS] for a in LABELS])
 
 
-@lru_cache(1)
-def _trained() -> tuple[dict[str, int], crf.Chain]:
-    """Feature numbers and model, trained on the labelled table."""
-    table, given, family, every = labelled_table()
+#: Share of the names that count as known in a sentence; the rest must be told by their looks and by what is around them.
+LISTED = 0.5
+#: The trained weights, written by ``python -m inkmill.llm.pii`` and read here; with another table they are trained anew.
+WEIGHTS = Path(__file__).with_name("pii_weights.npz")
+
+
+def training_rows(words: frozenset[str]) -> tuple[list, np.ndarray, dict[str, int], dict[str, int]]:
+    """Sentences as (token types, places, labels), the feature rows of the types, the numbers of features and of shapes."""
+    table, names = labelled_table()
+    r = random.Random(5)
     rows = []
     for parts in table:
-        text = "".join(p for p, _ in parts)
-        t = Tokens([text])
+        t = Tokens(["".join(p for p, _ in parts)])
         labels, at = np.zeros(len(t.first), np.int64), 0
         for part, kind in parts:
-            if kind:
-                own = np.flatnonzero((t.first >= at) & (t.first < at + len(part)))
+            own = np.flatnonzero((t.first >= at) & (t.first < at + len(part)))
+            if kind and len(own):
                 labels[own] = 2 * TYPES.index(kind) + 2
                 labels[own[0]] -= 1
             at += len(part)
-        rows.append(([t.text(i) for i in range(len(t.first))], t.gap, labels))
-    count = Counter(f for words, _, _ in rows for w in set(words) for f in token_features(w, given, family))
-    # words that are no names and occur often enough
-    kept = [f for f, n in count.items() if f[0] != "w" or n >= 3 and f[1:] not in every]
-    index = {f: i + 1 for i, f in enumerate(sorted(kept))}
-    types: dict[str, int] = {}
-    sentences = [(np.array([types.setdefault(w, len(types) + 1) for w in words]), gap, labels) for words, gap, labels in rows if words]
-    features = feature_rows(["", *types], index, given, family)
-    return index, crf.train(sentences, features, len(index) + 1, len(LABELS), GAPS, _ALLOWED)
+        if len(t.first):
+            rows.append(([t.text(i) for i in range(len(t.first))], t, labels))
+    seen = Counter(number_shape(m.group()) for _, t, _ in rows for m in _NUMBERS.finditer(t.joined))
+    shapes = {x: LOOSE + 1 + i for i, x in enumerate(sorted(x for x, n in seen.items() if n >= 4))}
+    # a name is known in some sentences and in others not
+    bare = Lists((), (), words)
+    count = Counter(f for tokens, _, _ in rows for w in set(tokens) for f in token_features(w, bare))
+    index = {f: i + 1 for i, f in enumerate(sorted([f for f, n in count.items() if f[0] != "w" or n >= 3 and f[1:] not in names] + [f"{k}{s}" for k in "gf" for s in ("X", "Xx", "x", "xX")]))}
+    given, family = {n.lower() for n in GIVEN}, {n.lower() for n in FAMILY}
+    types: dict[tuple[str, int], int] = {}
+    sentences = []
+    for tokens, t, labels in rows:
+        listed = []
+        for k, w in enumerate(tokens):
+            in_name = labels[k] and TYPES[(labels[k] - 1) // 2] == "name"
+            mark = 0
+            # before a word that is also part of place names the given name is always known
+            sure = in_name and not PLACES.isdisjoint(x.capitalize() for x in tokens[max(0, k - 2) : k + 4])
+            if w[0].isupper() and (in_name or w.lower() in names) and (sure or r.random() < LISTED):
+                first = in_name and not (k and labels[k - 1] == labels[k] or labels[k] % 2 == 0)
+                mark = 1 if w.lower() in given or first and w.lower() not in family else 2
+            listed.append(types.setdefault((w, mark), len(types) + 1))
+        sentences.append((np.array(listed), t.places(shapes), labels))
+    held = [bare, *(Lists({w.lower()} if mark == 1 else (), {w.lower()} if mark == 2 else (), words) for w, mark in types)]
+    return sentences, feature_rows(["", *(w for w, _ in types)], index, held), index, shapes
+
+
+def fit(words: frozenset[str]) -> tuple[dict[str, int], dict[str, int], crf.Chain]:
+    sentences, features, index, shapes = training_rows(words)
+    return index, shapes, crf.train(sentences, features, len(index) + 1, len(LABELS), GAPS * (LOOSE + 1 + len(shapes)), _ALLOWED)
+
+
+def stamp() -> str:
+    """Changes with whatever the weights depend on."""
+    parts = [Path(m.__file__).read_bytes() for m in (pii_table, crf)] + [inspect.getsource(f).encode() for f in (token_features, training_rows, number_shape, loose_shape, Tokens)]
+    return hashlib.sha256(b"".join(parts)).hexdigest()
+
+
+@lru_cache(1)
+def model(folder: str = TOKENIZERS) -> tuple[dict[str, int], dict[str, int], crf.Chain, frozenset[str]]:
+    """Numbers of features and shapes, weights and vocabulary."""
+    words = vocabulary(folder)
+    if WEIGHTS.exists():
+        with np.load(WEIGHTS) as held:
+            if str(held["stamp"]) == stamp():
+                names, shapes = (str(held[k]).split("\n") for k in ("names", "shapes"))
+                chain = crf.Chain(len(names) + 1, len(LABELS), len(held["gap"]), _ALLOWED)
+                chain.w, chain.gap, chain.move = (held[k].astype(np.float64) for k in ("w", "gap", "move"))
+                return {n: i + 1 for i, n in enumerate(names)}, {x: LOOSE + 1 + i for i, x in enumerate(shapes)}, chain, words
+    return *fit(words), words
+
+
+def write_weights() -> None:
+    index, shapes, chain = fit(vocabulary())
+    names, numbers = ("\n".join(sorted(d, key=d.get)) for d in (index, shapes))
+    np.savez_compressed(WEIGHTS, stamp=stamp(), names=names, shapes=numbers, w=chain.w.astype(np.float16), gap=chain.gap.astype(np.float32), move=chain.move.astype(np.float32))
 
 
 def name_forms(names: DataFrame) -> tuple[frozenset[str], frozenset[str]]:
@@ -347,18 +479,15 @@ def _tagger(held: object) -> Tagger:
     """One tagger for each broadcast in a process; the model comes with it, so executors don't train."""
     key = id(held.value)
     if key not in _taggers:
-        index, model, given, family = held.value
-        t = Tagger.__new__(Tagger)
-        t.index, t.model, t.given, t.family = index, model, given, family
-        t._forget()
+        trained, given, family = held.value
         _taggers.clear()
-        _taggers[key] = t
+        _taggers[key] = Tagger(given, family, trained)
     return _taggers[key]
 
 
 def _over(documents: DataFrame, names: DataFrame, schema: str, rows: object) -> DataFrame:
     spark = documents.sparkSession
-    held = spark.sparkContext.broadcast((*_trained(), *name_forms(names)))
+    held = spark.sparkContext.broadcast((model(), *name_forms(names)))
     types = [pa.field(f.name, {"bigint": pa.int64(), "string": pa.string()}[f.dataType.simpleString()]) for f in spark.createDataFrame([], schema).schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -395,3 +524,9 @@ def redact(text: str, spans: list[tuple[str, int, int]]) -> str:
 def redact_personal_data(documents: DataFrame, names: DataFrame) -> DataFrame:
     """(doc_id, text, places): every document with typed placeholders in its text; null texts stay null."""
     return _over(documents, names, "doc_id bigint, text string, places bigint", lambda i, t, spans: [(i, None if t is None else redact(t, spans), len(spans))])
+
+
+if __name__ == "__main__":
+    from inkmill.llm import pii  # the module by its own name, so that the weights belong to it
+
+    pii.write_weights()
