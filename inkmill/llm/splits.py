@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import math
 
 from pyspark.sql import Column, DataFrame
@@ -14,8 +13,8 @@ from inkmill.llm.shared import materialize
 #: Shelf codes, fixed values of the data.
 SHELVES = ("kt", "mv", "qo", "zr", "bx", "wy")
 PROPORTIONS = {"train": 0.90, "validation": 0.05, "test": 0.05}
-#: A component with at least this share of the records is placed by deficit instead of by hash; at most 1/share exist.
-LARGE_SHARE = 0.001
+#: Seeds of which the one that meets the proportions best is taken, and buckets in which their scores are counted.
+SEEDS, BUCKETS = 16, 4096
 
 
 def work_of(c: Column) -> Column:
@@ -75,41 +74,62 @@ def _unit(key: Column, salt: str) -> Column:
     return (F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 52)).cast("double") + 0.5) / float(1 << 52)
 
 
-def rendezvous(key: Column, weights: dict[str, float], seed: str) -> Column:
-    """The split of highest weighted score -w / ln(u); a split of weight 0 is never chosen."""
-    scored = [F.struct((F.lit(-float(w)) / F.log(_unit(key, f"{seed}:{name}"))).alias("score"), F.lit(name).alias("name")) for name, w in weights.items() if w > 0]
-    return F.array_max(F.array(*scored))["name"]
+def score(key: Column, name: str, salt: str) -> Column:
+    """-ln(u) of a split for a component; the split with the least score / weight wins the rendezvous."""
+    return -F.log(_unit(key, f"{salt}:{name}"))
 
 
-def place_large(sizes: list[tuple[str, int]], total: int, proportions: dict[str, float], seed: str) -> tuple[dict[str, str], dict[str, float]]:
-    """Splits of the large components, largest first into the largest deficit; and what each split still lacks."""
-    lacks = {name: share * total for name, share in proportions.items()}
-    placed = {}
-    for key, n in sorted(sizes, key=lambda x: (-x[1], x[0])):
-        tie = {name: hashlib.sha256(f"{seed}:{key}:{name}".encode()).hexdigest() for name in lacks}
-        name = max(lacks, key=lambda s: (lacks[s], tie[s]))
-        placed[key], lacks[name] = name, lacks[name] - n
-    return placed, {name: max(0.0, x) for name, x in lacks.items()}
+def against_rest(key: Column, name: str, salt: str) -> Column:
+    """The rendezvous of one split with all that come after it: a number in (0, 1), evenly spread.
+
+    With weights w and v, the split wins where score / w < rest / v, which is where this number is below w / (w + v).
+    """
+    own = score(key, name, salt)
+    return own / (own + score(key, "rest", f"{salt}:{name}"))
+
+
+def fitted(counted: list[tuple[int, int, int]], wanted: float) -> tuple[int, int]:
+    """(seed, bucket): below which bucket of which seed the records come nearest to ``wanted``; of equals the first seed.
+
+    ``counted`` has (seed, bucket, records).
+    """
+    best = (math.inf, 0, 0)
+    by_seed: dict[int, dict[int, int]] = {}
+    for seed, bucket, n in counted:
+        by_seed.setdefault(seed, {})[bucket] = n
+    for seed in sorted(by_seed):
+        held, cuts = 0, [(0, 0)]
+        for bucket in sorted(by_seed[seed]):
+            held += by_seed[seed][bucket]
+            cuts.append((bucket + 1, held))
+        for cut, n in cuts:
+            if abs(n - wanted) < best[0]:
+                best = (abs(n - wanted), seed, cut)
+    return best[1], best[2]
 
 
 def assign_splits(records: DataFrame, work_authors: DataFrame, proportions: dict[str, float] | None = None, seed: str = "inkmill") -> DataFrame:
     """(id, group_key, split) for every distinct non-null id.
 
-    A record that names no work forms a group of its own. The few components above LARGE_SHARE of all records (at most
-    1 / LARGE_SHARE, so they fit in the driver) are placed by deficit, all others by weighted rendezvous hashing with
-    the rest of the proportions as weights; the result does not depend on row order.
+    A record that names no work forms a group of its own. Components of every size are placed by the same rule, weighted
+    rendezvous hashing, split by split: in the order of their proportions each split meets all that come after it.
+    Its weight is fitted so that the records (not the components) come out in the proportions: scores are counted in
+    BUCKETS for each of SEEDS seeds, and the seed and weight that come nearest are taken. What is left is at most a
+    bucket's records, unless a single component is larger than a split. The result does not depend on row order.
     """
-    proportions = proportions or PROPORTIONS
+    shares = {k: v for k, v in sorted((proportions or PROPORTIONS).items(), key=lambda x: (-x[1], x[0])) if v > 0}
     named = grouped_records(records, work_authors)
     ids = records.where("id is not null").select("id").distinct()
     rows = materialize(ids.join(named, "id", "left").select("id", F.coalesce("group_key", F.concat(F.lit("id:"), "id")).alias("group_key")), "components")
-    total = rows.count()
-    large = rows.groupBy("group_key").count().where(F.col("count") >= max(2, math.ceil(LARGE_SHARE * total))).collect()
-    placed, lacks = place_large([(r["group_key"], r["count"]) for r in large], total, proportions, seed)
-    if not any(lacks.values()):
-        lacks = proportions
-    split = rendezvous(F.col("group_key"), lacks, seed)
-    if placed:
-        fixed = F.create_map(*[F.lit(x) for pair in placed.items() for x in pair])
-        split = F.coalesce(F.try_element_at(fixed, F.col("group_key")), split)
-    return rows.select("id", "group_key", split.alias("split"))
+    sizes = materialize(rows.groupBy("group_key").agg(F.count("*").alias("n")), "sizes")
+    names, left, split = list(shares), sum(shares.values()), F.lit(None).cast("string")
+    for name in names[:-1]:
+        free = sizes.where(split.isNull())
+        buckets = F.array(*[F.floor(against_rest(F.col("group_key"), name, f"{seed}:{k}") * BUCKETS).cast("int") for k in range(SEEDS)])
+        counted = free.select("n", F.posexplode(buckets).alias("seed", "bucket")).groupBy("seed", "bucket").agg(F.sum("n").alias("n")).collect()
+        total = sum(r["n"] for r in counted if r["seed"] == 0)
+        k, cut = fitted([(r["seed"], r["bucket"], r["n"]) for r in counted], total * shares[name] / left)
+        won = F.floor(against_rest(F.col("group_key"), name, f"{seed}:{k}") * BUCKETS) < cut
+        split = F.coalesce(split, F.when(won, F.lit(name)))
+        left -= shares[name]
+    return rows.select("id", "group_key", F.coalesce(split, F.lit(names[-1])).alias("split"))
