@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from inkmill.llm.shared import materialize
 
-#: Hash buckets a cell is cut into when its rows are drawn; only the bucket at the edge is ranked row by row. With many
-#: cells there are fewer, so that cells x buckets, which are broadcast, stay below a million.
-BUCKETS, MAX_SENT = 4096, 1_000_000
+#: Hash buckets a cell is cut into when its rows are drawn, and how often the bucket at the edge is cut again; only what
+#: is left of it, a part in BUCKETS ** LEVELS of the cell, is ranked row by row.
+BUCKETS, LEVELS = 4096, 2
 #: Most target cells; they are handled in the driver.
 MAX_CELLS = 100_000
 
@@ -31,21 +32,31 @@ def _deviation(n: np.ndarray, ideal: np.ndarray) -> np.ndarray:
     return (n - ideal) ** 2 / np.maximum(ideal, 1.0)
 
 
+def random_draw(held: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
+    """Rows of each cell in a random draw of ``size`` rows without replacement, for populations of any size.
+
+    Every row is taken on its own by chance, which leaves a surplus or lack of about the root of the size; that is drawn
+    in the same way from the rows taken or left, and so on until a few are left, which are drawn one by one.
+    """
+    taken, lack = np.zeros(len(held), np.int64), min(size, int(held.sum()))
+    while abs(lack) > 1000:
+        pool = held - taken if lack > 0 else taken
+        taken = taken + int(np.sign(lack)) * rng.binomial(pool, abs(lack) / int(pool.sum()))
+        lack = min(size, int(held.sum())) - int(taken.sum())
+    while lack:
+        pool = held - taken if lack > 0 else taken
+        i = int(np.searchsorted(np.cumsum(pool), rng.integers(int(pool.sum())), "right"))
+        taken[i] += int(np.sign(lack))
+        lack -= int(np.sign(lack))
+    return taken
+
+
 def random_start(held: np.ndarray, floors: np.ndarray, size: int, rng: np.random.Generator) -> np.ndarray:
     """Counts of a random sample that holds the floors as far as rows and size go."""
     counts = np.minimum(held, floors)
     while counts.sum() > size:  # floors alone exceed the sample: give up the last rows of the largest floors
         counts[int(counts.argmax())] -= 1
-    rest, left = held - counts, size - int(counts.sum())
-    # a draw without replacement, cell by cell
-    for i in range(len(rest)):
-        behind = int(rest[i + 1 :].sum())
-        if left and rest[i]:
-            # numpy's generator takes populations below 1e9; beyond that the mean is as good as a draw
-            take = int(rng.hypergeometric(int(rest[i]), behind, left)) if rest[i] + behind < 1_000_000_000 else min(int(rest[i]), max(left - behind, round(left * int(rest[i]) / (int(rest[i]) + behind))))
-            counts[i] += take
-            left -= take
-    return counts
+    return counts + random_draw(held - counts, size - int(counts.sum()), rng)
 
 
 def swap_repair(counts: np.ndarray, held: np.ndarray, floors: np.ndarray, ideal: np.ndarray) -> np.ndarray:
@@ -107,25 +118,55 @@ def stratified_sample(records: DataFrame, targets: DataFrame, fraction: float =
     _, _, taken, _ = _plan(rows, goals, total, fraction, seed)
     spark = records.sparkSession
     quota = spark.createDataFrame([(i if i < len(goals) else -1, int(t)) for i, t in enumerate(taken)], "cell int, quota bigint")
-    hashed = rows.withColumn("h", F.xxhash64(F.lit(seed), "id")).withColumn("bucket", F.pmod("h", F.lit(max(1, min(BUCKETS, MAX_SENT // (len(goals) + 1))))).cast("int"))
-    sizes = hashed.groupBy("cell", "bucket").count()
-    up_to = sizes.withColumn("above", F.expr("sum(count) over (partition by cell order by bucket rows between unbounded preceding and current row)"))
-    edges = up_to.join(F.broadcast(quota), "cell").select("cell", "bucket", (F.col("quota") - F.col("above") + F.col("count")).alias("room"), "count")
-    drawn = hashed.join(F.broadcast(edges.where("room > 0")), ["cell", "bucket"])
-    whole = drawn.where("room >= count").select("id", "top", "sub")
-    edge = drawn.where("room < count").withColumn("r", F.expr("row_number() over (partition by cell, bucket order by h, id)")).where("r <= room")
-    return whole.unionByName(edge.select("id", "top", "sub"))
+    return drawn(rows.withColumn("h", F.xxhash64(F.lit(seed), "id")), quota).select("id", "top", "sub")
+
+
+def drawn(rows: DataFrame, quota: DataFrame, buckets: int = BUCKETS, levels: int = LEVELS) -> DataFrame:
+    """The rows of smallest ``h`` of each cell, as many as ``quota`` (cell, quota; at most MAX_CELLS rows) says.
+
+    The highest bits of the hash cut a cell into buckets; those below the edge are taken after a count, the bucket at the
+    edge is cut again by the next bits. A cell's edge and the room in it are one row, so what is sent is one row a cell.
+    """
+    bits = buckets.bit_length() - 1
+    parts, rest = [], rows.withColumn("_h", F.expr("shiftright(h, 1) + shiftleft(cast(1 as bigint), 62)"))  # from 0 on
+    for level in range(levels):
+        rest = rest.withColumn("bucket", F.shiftright("_h", 63 - bits * (level + 1)).bitwiseAND(F.lit(buckets - 1)).cast("int"))
+        sizes = rest.groupBy("cell", "bucket").count().join(F.broadcast(quota), "cell")
+        upto = sizes.withColumn("above", F.expr("sum(count) over (partition by cell order by bucket rows between unbounded preceding and current row)"))
+        edge = materialize(upto.groupBy("cell").agg(F.min(F.when(F.col("above") > F.col("quota"), F.struct("bucket", (F.col("quota") - F.col("above") + F.col("count")).alias("room")))).alias("e")), "edge")
+        edge = edge.select("cell", F.coalesce("e.bucket", F.lit(buckets)).alias("edge"), F.col("e.room").alias("quota"))
+        placed = rest.join(F.broadcast(edge.select("cell", "edge")), "cell")
+        parts.append(placed.where("bucket < edge").select(*rows.columns))
+        rest = placed.where("bucket = edge").drop("edge", "bucket")
+        quota = edge.where("quota > 0").select("cell", "quota")
+    last = rest.join(F.broadcast(quota), "cell").withColumn("r", F.expr("row_number() over (partition by cell order by h, id)")).where("r <= quota")
+    return reduce(DataFrame.unionByName, [*parts, last.select(*rows.columns)])
+
+
+def exhausted(taken: np.ndarray, held: np.ndarray, want: np.ndarray, floors: np.ndarray) -> np.ndarray:
+    """Rows that each target cell lacks even after every exchange in its favour.
+
+    The repair leaves cells a little under their targets where rounding up or floors ask for more rows than there are;
+    each such cell is given rows in exchange for any other's (the last entry is what lies outside all cells) down to
+    those others' floors. What it then lacks, no exchange can give it.
+    """
+    lacks = np.zeros(len(taken), np.int64)
+    for i in np.flatnonzero(taken < want):
+        others = int(np.maximum(taken - np.minimum(floors, taken), 0).sum() - max(0, taken[i] - min(floors[i], taken[i])))
+        lacks[i] = max(0, int(want[i] - taken[i]) - min(int(held[i] - taken[i]), others))
+    return lacks
 
 
 def sample_report(records: DataFrame, targets: DataFrame, fraction: float = 0.2, seed: int = 7) -> DataFrame:
     """(top, sub, held, wanted, taken, missing) of every target cell: what it holds, should give and gives, and what
-    its records lack to meet the target (0 where they suffice)."""
+    the repair could not place in it (0 where its records suffice)."""
     rows, goals, total = _cells(records, targets)
     held, want, taken, _ = _plan(rows, goals, total, fraction, seed)
-    report = [(g["top"], g["sub"], int(h), int(w), int(t), max(0, int(w - h))) for g, h, w, t in zip(goals, held, want, taken)]
+    lacks = exhausted(taken, held, want, np.array([g["min_rows"] for g in goals] + [0], np.int64))
+    report = [(g["top"], g["sub"], int(h), int(w), int(t), int(x)) for g, h, w, t, x in zip(goals, held, want, taken, lacks)]
     return records.sparkSession.createDataFrame(report, "top string, sub string, held bigint, wanted bigint, taken bigint, missing bigint")
 
 
 def short_cells(records: DataFrame, targets: DataFrame, fraction: float = 0.2, seed: int = 7) -> DataFrame:
-    """(top, sub) of the cells whose records do not suffice."""
+    """(top, sub) of the cells for which the repaired sample and every exchange in their favour lack rows."""
     return sample_report(records, targets, fraction, seed).where("missing > 0").select("top", "sub")
