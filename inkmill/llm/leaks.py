@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.llm.shared import materialize
+
 WORDS = 12
 #: Items and characters that go into one automaton; a larger evaluation set is scanned for in several passes.
 ITEMS_A_PASS, CHARS_A_PASS = 20_000, 20_000_000
@@ -45,8 +47,11 @@ def matches(a: ahocorasick.Automaton, text: str, n: int = WORDS) -> list[tuple[i
     """(item, first character, end, words) of each maximal stretch that a text shares with an item."""
     flat = normalise(text)
     runs: dict[int, list[list[int]]] = {}
+    at = passed = 0
     for end, holders in a.iter(flat):
-        last = flat.count(" ", 0, end) - 1
+        # matches come in order, so the blanks are counted once
+        passed += flat.count(" ", at, end)
+        at, last = end, passed - 1
         for item in holders:
             stretches = runs.setdefault(item, [])
             if stretches and stretches[-1][1] == last - 1:
@@ -80,15 +85,22 @@ def leaked_passages(documents: DataFrame, items: DataFrame, words: int = WORDS)
 
     Null texts and ids have no rows; a document given twice has one row a passage; with no items there are no rows.
     A stretch may join passages that follow one another in both texts but for their order within the item.
+
+    Items go in blocks of ITEMS_A_PASS items or CHARS_A_PASS characters (an item longer than that is a block of its own).
+    With more than one block, the passages of each are written to the shared folder before the next block is sent, so
+    driver and executors hold one block at a time; each block reads the documents once.
     """
     schema = "doc_id bigint, item_id bigint, start_pos bigint, end_pos bigint, n_words bigint"
     spark, out = documents.sparkSession, None
     docs = documents.where("doc_id is not null and text is not null").select(F.col("doc_id").cast("bigint"), "text")
-    for block in _blocks(items):
-        held = spark.sparkContext.broadcast(block)
-
-        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
-            a = automaton(held.value, words)
+    blocks = _blocks(items)
+    block = next(blocks, None)
+    while block is not None:
+        sent = spark.sparkContext.broadcast(block)
+        block = next(blocks, None)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            a = automaton(sent.value, words)
             if not len(a):
                 return
             for batch in batches:
@@ -98,10 +110,11 @@ def leaked_passages(documents: DataFrame, items: DataFrame, words: int = WORDS)
                     yield pa.RecordBatch.from_pandas(frame, preserve_index=False)
 
         part = docs.mapInArrow(run, schema)
+        if block is not None or out is not None:  # done with this block before the next one is sent
+            part = materialize(part, "passages")
+            sent.destroy()
         out = part if out is None else out.unionByName(part)
-    if out is None:
-        return spark.createDataFrame([], schema)
-    return out.distinct()
+    return spark.createDataFrame([], schema) if out is None else out.distinct()
 
 
 def leak_report(documents: DataFrame, items: DataFrame, words: int = WORDS) -> DataFrame:
