@@ -73,7 +73,7 @@ def split_points(chars: np.ndarray, kind: np.ndarray) -> np.ndarray:
 class Encoder:
     """Token ids of texts. ``path`` is a rank file: base64 of a token, a blank and its rank on each line.
 
-    Words are told apart by 64-bit hashes; each different word is encoded once and its ids are kept.
+    Words are found by 64-bit hashes and held against the word that was kept; each different word is encoded once.
     """
 
     def __init__(self, path: str) -> None:
@@ -84,6 +84,7 @@ class Encoder:
     def _forget(self) -> None:
         self.number: dict[int, int] = {}
         self.ids: list[tuple[int, ...]] = []
+        self.words: list[str] = []
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and their offsets by text. A null text is an empty one."""
@@ -109,11 +110,12 @@ class Encoder:
             self._forget()
         rows = []
         for h, i in zip(different.tolist(), at.tolist()):
-            n = self.number.get(h)
+            n, word = self.number.get(h), joined[first[i] : last[i]] if h else ""
             if n is None:
                 n = self.number[h] = len(self.ids)
-                self.ids.append(self.word(joined[first[i] : last[i]].encode("utf-8", "replace")) if h else ())
-            rows.append(self.ids[n])
+                self.words.append(word)
+                self.ids.append(self.word(word.encode("utf-8", "replace")) if h else ())
+            rows.append(self.ids[n] if self.words[n] == word else self.word(word.encode("utf-8", "replace")))
         sizes = np.array([len(r) for r in rows], np.int64)
         flat = np.fromiter(itertools.chain.from_iterable(rows), np.int32, int(sizes.sum()))
         begin = np.cumsum(sizes) - sizes
@@ -124,6 +126,12 @@ class Encoder:
         offsets[1:] = ended[np.searchsorted(first, ends - 1)]
         return flat[source], offsets
 
+    def sizes(self) -> np.ndarray:
+        """Bytes of each token."""
+        out = np.zeros(max(self.ranks.values()) + 1, np.int64)
+        out[list(self.ranks.values())] = [len(t) for t in self.ranks]
+        return out
+
     def word(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one word."""
         whole = self.ranks.get(piece)

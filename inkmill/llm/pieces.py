@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.llm.encoding import RANK_FILE, TOKENIZERS, encoder
+
 LIMIT, OVERLAP = 3000, 200
 #: Boundaries from the best kind to the weakest; a match ends where the next piece may begin.
 KINDS = (("paragraph", re.compile(r"\n[^\S\n]*\n\s*")), ("line", re.compile(r"[\n\r  ]\s*")), ("sentence", re.compile(r"[.!?…][\"'”»’)\]*_]*\s+")), ("word", re.compile(r"\s+")))
@@ -20,24 +22,39 @@ def boundaries(text: str) -> list[np.ndarray]:
     return [np.array([m.end() for m in pattern.finditer(text)], np.int64) for _, pattern in KINDS]
 
 
-def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, str]]:
+def token_offsets(text: str, path: str | None = None) -> np.ndarray:
+    """Tokens that begin before each character of a text, by a public tokenizer: prefix sums for ``cut``."""
+    ids, _ = (e := encoder(path or f"{TOKENIZERS}/{RANK_FILE}")).encode_batch([text])
+    sizes = e.sizes()[ids]
+    begins = np.zeros(int(sizes.sum()) + 1, np.int64)
+    begins[np.cumsum(sizes) - sizes] = 1
+    counted = np.concatenate(([0], np.cumsum(begins)))
+    ends = np.cumsum([0, *(len(c.encode("utf-8", "replace")) for c in text)])
+    return counted[ends]
+
+
+def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP, offsets: np.ndarray | None = None) -> list[tuple[int, int, str]]:
     """(start, end, kind of the cut at the end) of the pieces; each has at most ``limit`` characters.
 
     The end of a piece is the last boundary of the best kind that lies in the second half of what the limit allows
-    (a weaker kind where the better has none there), else the last boundary of any kind beyond the overlap, else the
-    limit itself: a hard cut. The next piece begins at the
-    first sentence, line or word boundary among the last ``overlap`` characters, or exactly that far back.
+    (a weaker kind where the better has none there), else the last boundary of any kind in the piece, else the limit
+    itself: a hard cut. The next piece begins at the first sentence, line or word boundary among the last ``overlap``
+    characters, or exactly that far back; behind a piece not longer than the overlap it begins where that ended.
+    ``offsets``, prefix sums with one entry more than characters, puts limit and overlap into other units, such as tokens
+    (``token_offsets``); a single character over the limit is a piece.
     """
-    if len(text) <= limit:
+    upto = np.arange(len(text) + 1) if offsets is None else offsets
+    if upto[-1] <= limit:
         return [(0, len(text), "end")]
     kinds = boundaries(text)
     places = np.unique(np.concatenate(kinds))
     out: list[tuple[int, int, str]] = []
     start = 0
-    while len(text) - start > limit:
-        furthest, end, how = start + limit, start + limit, "hard"
+    while upto[-1] - upto[start] > limit:
+        furthest = max(start + 1, int(np.searchsorted(upto, upto[start] + limit, "right")) - 1)
+        end, how = furthest, "hard"
         # a piece must outgrow its overlap, so that the next one begins later
-        least = start + max(overlap + 1, limit // 2)
+        least = int(np.searchsorted(upto, upto[start] + max(overlap + 1, limit // 2), "left"))
         for (kind, _), at in zip(KINDS, kinds):
             i = int(np.searchsorted(at, furthest, "right")) - 1
             if i >= 0 and at[i] >= least:
@@ -45,13 +62,17 @@ def cut(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int
                 break
         else:
             i = int(np.searchsorted(places, furthest, "right")) - 1
-            if i >= 0 and places[i] > start + overlap:
+            if i >= 0 and places[i] > start:
                 end, how = int(places[i]), "word"
         out.append((start, end, how))
-        back = end - overlap
+        back = int(np.searchsorted(upto, upto[end] - overlap, "left"))
+        if back <= start:
+            start = end
+            continue
         i = int(np.searchsorted(places, back, "left"))
         start = int(places[i]) if i < len(places) and places[i] < end else back
-    out.append((start, len(text), "end"))
+    if start < len(text):
+        out.append((start, len(text), "end"))
     return out
 
 

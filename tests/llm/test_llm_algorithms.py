@@ -126,7 +126,28 @@ def test_pieces(text, limit, overlap):
     for (a, b, how), (c, _, _) in zip(got, got[1:]):
         assert a < c <= b and b - c <= overlap
         if how == "hard":
-            assert not any(m.end() > a + overlap and m.end() <= a + limit for m in re.finditer(r"\s+", text))
+            assert not any(m.end() > a and m.end() <= a + limit for m in re.finditer(r"\s+", text))
+
+
+def test_cut_takes_any_boundary_before_a_hard_cut():
+    got = pieces.cut("x" * 150 + " " + "y" * 7000, 3000, 200)
+    assert [p[:2] for p in got] == [(0, 151), (151, 3151), (2951, 5951), (5751, 7151)] and [p[2] for p in got] == ["word", "hard", "hard", "end"]
+
+
+def test_cut_by_tokens(coder):
+    text = "The ferry crossed the river — señor \U0001f600 waited. " * 40 + "z" * 300
+    upto = pieces.token_offsets(text)
+    got = pieces.cut(text, 50, 5, upto)
+    assert upto[-1] == len(coder.encode_batch([text])[0]) and got[0][0] == 0 and got[-1][1] == len(text)
+    assert all(upto[b] - upto[a] <= 50 for a, b, _ in got) and all(a < c <= b and upto[b] - upto[c] <= 5 for (a, b, _), (c, _, _) in zip(got, got[1:]))
+
+
+def test_words_of_one_hash(coder):
+    """A word under the hash of another one gets its own ids."""
+    e = encoding.Encoder(str(RANKS))
+    e.encode_batch(["river ferry"])
+    e.words = ["another" if w else w for w in e.words]
+    assert e.encode_batch(["river ferry"])[0].tolist() == coder.encode_batch(["river ferry"])[0].tolist()
 
 
 def test_cut_prefers_paragraphs():
