@@ -23,7 +23,7 @@ SCORE_HEAD = (
     "property names are the *metric names* shown below and whose values are the\nnumeric scores (0.0 – 1.0).  \nNo prose, no markdown – just the JSON.\n\nTEXT:\n"
 )
 SCORE_MIDDLE = "\n\nYour task is to score the above text on the following criteria on a 0-1 scale:\n"
-SCORE_NOTE = "\n---  \n\nNote: if a criterion doesn't apply to the text, omit it from the output.\n\nReturn **only** a JSON object like:\n\n{\n"
+SCORE_NOTE = "\n\n---  \n\nNote: if a criterion doesn't apply to the text, omit it from the output.\n\nReturn **only** a JSON object like:\n\n{\n"
 
 
 def _quoted(c: Column) -> Column:
@@ -42,7 +42,7 @@ def reconstruction_prompt(response: Column) -> Column:
 def scoring_tail(metrics: Sequence[tuple[str, str, str]]) -> str:
     """What follows the text: a line for each (name, description, hint), and the shape of the answer."""
     lines = "".join(f"\n{name} — {text} (Hint: {hint})\n" for name, text, hint in metrics)
-    shape = ",\n".join(f'  "{name}": <float between 0.0 and 1.0>' for name, _, _ in metrics)
+    shape = ",\n".join(f'\n  "{name}": <float between 0.0 and 1.0>' for name, _, _ in metrics) + ("\n" if metrics else "")
     return f"{SCORE_MIDDLE}{lines}{SCORE_NOTE}{shape}\n}}"
 
 

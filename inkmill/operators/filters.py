@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions.text import token_count
+from inkmill.sources.index import first_of
 
 
 @dataclass(frozen=True)
@@ -18,12 +19,13 @@ class FilterSettings:
     max_tokens: int = 4000
     lang_threshold: float = 0.9
     blacklist: Sequence[str] = ()
+    counter: Callable[[Column], Column] = token_count
 
 
-def token_range(low: int, high: int, text: Column | str = "response") -> Column:
+def token_range(low: int, high: int, text: Column | str = "response", counter: Callable[[Column], Column] = token_count) -> Column:
     """Texts of ``low`` to ``high`` tokens, both included; empty and null texts never pass."""
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce((F.length(c) > 0) & token_count(c).between(low, high), F.lit(False))
+    return F.coalesce((F.length(c) > 0) & counter(c).between(low, high), F.lit(False))
 
 
 def in_language(lang: Column, probability: Column, threshold: float, wanted: str = "en") -> Column:
@@ -47,12 +49,8 @@ def text_hash(text: Column) -> Column:
 
 
 def deduplicate(df: DataFrame, order: Sequence[str], text: str = "response") -> DataFrame:
-    """The first row in ``order`` of each distinct text, over all datasets.
-
-    An aggregate with a minimum, so copies of a frequent text are combined before the shuffle. Null texts count as one.
-    """
-    rows = F.struct(*df.columns)
-    return df.groupBy(text_hash(F.col(text)).alias("_h")).agg(F.min_by(rows, F.struct(*order)).alias("r")).select("r.*")
+    """The first row in ``order`` of each distinct text, over all datasets. Null texts count as one."""
+    return first_of(df, text_hash(F.col(text)), tuple(order))
 
 
 def seen_hashes(df: DataFrame, text: str = "response") -> DataFrame:
@@ -71,7 +69,7 @@ def filter_chain(df: DataFrame, settings: FilterSettings, order: Sequence[str],
 
     Without a detector (``lang`` null) the language filter is off. The language that passed is noted in meta.lang.
     """
-    kept = df.where(token_range(settings.min_tokens, settings.max_tokens))
+    kept = df.where(token_range(settings.min_tokens, settings.max_tokens, counter=settings.counter))
     if lang is not None and settings.lang_threshold > 0:
         kept = kept.where(in_language(lang, F.lit(1.0) if probability is None else probability, settings.lang_threshold))
         if "meta" in df.columns:
@@ -79,11 +77,11 @@ def filter_chain(df: DataFrame, settings: FilterSettings, order: Sequence[str],
     return deduplicate(kept.where(not_blacklisted(F.col("response"), settings.blacklist)), order)
 
 
-def filter_counts(df: DataFrame, settings: FilterSettings, *, lang: Column | None = None, by: str = "source_dataset_name") -> DataFrame:
+def filter_counts(df: DataFrame, settings: FilterSettings, *, lang: Column | None = None, probability: Column | None = None, by: str = "source_dataset_name") -> DataFrame:
     """(by, processed, in_range, in_language, clean, retained) in one pass: what each filter leaves, cumulated; retained
     counts distinct texts within the group."""
-    a = token_range(settings.min_tokens, settings.max_tokens)
-    b = a & (in_language(lang, F.lit(1.0), settings.lang_threshold) if lang is not None else F.lit(True))
+    a = token_range(settings.min_tokens, settings.max_tokens, counter=settings.counter)
+    b = a & (in_language(lang, F.lit(1.0) if probability is None else probability, settings.lang_threshold) if lang is not None else F.lit(True))
     c = b & not_blacklisted(F.col("response"), settings.blacklist)
     marked = df.select(F.col(by), a.alias("a"), b.alias("b"), c.alias("c"), text_hash(F.col("response")).alias("h"))
     return marked.groupBy(by).agg(

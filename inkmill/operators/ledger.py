@@ -25,7 +25,12 @@ def pending_scores(df: DataFrame, done: DataFrame, force: bool = False) -> DataF
 
 
 def merge_results(df: DataFrame, results: DataFrame, columns: Sequence[str], key: str = "id") -> DataFrame:
-    """Put results in place by id; where a row has none, or a null one, what it had stays."""
-    new = results.select(key, *[F.col(c).alias(f"_new_{c}") for c in columns]).dropDuplicates([key])
+    """Put results in place by id; where a row has none, or a null one, what it had stays.
+
+    Of several results of an id the one of the smallest hash counts, whatever the order of the rows.
+    """
+    hashed = F.xxhash64(*[F.to_json(F.struct(c)) for c in columns])
+    picked = results.where(F.col(key).isNotNull()).groupBy(key).agg(F.min_by(F.struct(*columns), hashed).alias("_new"))
+    new = picked.select(key, *[F.col(f"_new.{c}").alias(f"_new_{c}") for c in columns])
     joined = df.join(new, key, "left")
     return joined.select(*[F.coalesce(f"_new_{c}", c).alias(c) if c in columns else F.col(c) for c in df.columns])

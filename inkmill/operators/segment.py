@@ -31,15 +31,15 @@ def pack(tokens: list[int], most: int, overlap: int) -> list[tuple[int, int]]:
     return out
 
 
-def place(tokens: list[int], lengths: list[int], leads: list[int], bodies: list[int], most: int, overlap: int) -> list[tuple[int, int, int, int]]:
-    """(first, last, start, end) of each chunk over the pieces that are not blank; offsets count from the text's start."""
-    real = [i for i in range(len(tokens)) if bodies[i] > 0]
-    begin, at = [], 0
-    for n in lengths:
-        begin.append(at)
-        at += int(n)
-    chunks = pack([int(tokens[i]) for i in real], most, overlap)
-    return [(a, b, begin[real[a]] + int(leads[real[a]]), begin[real[b]] + int(leads[real[b]]) + int(bodies[real[b]])) for a, b in chunks]
+def place(tokens: list[int], lengths: list[int], leads: list[int], bodies: list[int], most: int, overlap: int) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """(start, end, spans of its sentences) of each chunk over the pieces that are not blank; offsets count from the text's
+    start."""
+    real, at = [], 0
+    for n, length, lead, body in zip(tokens, lengths, leads, bodies):
+        if body > 0:
+            real.append((int(n), at + int(lead), at + int(lead) + int(body)))
+        at += int(length)
+    return [(real[a][1], real[b][2], [(s, e) for _, s, e in real[a : b + 1]]) for a, b in pack([n for n, _, _ in real], most, overlap)]
 
 
 def sentences(df: DataFrame, key: str, text: str = "response") -> DataFrame:
@@ -50,21 +50,24 @@ def sentences(df: DataFrame, key: str, text: str = "response") -> DataFrame:
 
 
 def with_chunks(df: DataFrame, text: str, most: int, overlap: int, wanted: Column | None = None) -> DataFrame:
-    """Add _bare, the stripped pieces of a text, and _c, array<struct<first, last, start, end>> of its chunks.
+    """Add _c, array<struct<start, end, text>>: the chunks of a text, each with its sentences joined by a blank.
 
-    Rows that are not ``wanted`` get empty arrays. Pieces are found once, in a projection of their own; Python sees
-    numbers only.
+    Rows that are not ``wanted`` get an empty array. Pieces are found and their tokens counted once, in a projection of
+    their own; Python packs the numbers and cuts each chunk out of the text, so a text of any length is held once.
     """
 
-    @F.pandas_udf("array<struct<first:int,last:int,start:int,end:int>>")
-    def packed(tokens: pd.Series, lengths: pd.Series, leads: pd.Series, bodies: pd.Series) -> pd.Series:
-        return pd.Series([place(*arrays, most, overlap) for arrays in zip(tokens, lengths, leads, bodies)], dtype=object)
+    @F.pandas_udf("array<struct<start:int,end:int,text:string>>")
+    def packed(texts: pd.Series, tokens: pd.Series, lengths: pd.Series, leads: pd.Series, bodies: pd.Series) -> pd.Series:
+        out = []
+        for t, *arrays in zip(texts, tokens, lengths, leads, bodies):
+            out.append([(start, end, " ".join(t[s:e] for s, e in spans)) for start, end, spans in place(*arrays, most, overlap)])
+        return pd.Series(out, dtype=object)
 
     source = F.col(text) if wanted is None else F.when(wanted, F.col(text))
     cut = df.withColumn("_raw", pieces(source)).withColumn("_bare", F.transform("_raw", strip))
     # what is stripped starts with the first character that is no white space, so its first place is its own
     leads = F.zip_with("_raw", "_bare", lambda p, b: F.greatest(F.instr(p, b) - 1, F.lit(0)))
-    return cut.withColumn("_c", packed(F.transform("_bare", token_count), F.transform("_raw", F.length), leads, F.transform("_bare", F.length))).drop("_raw")
+    return cut.withColumn("_c", packed(source, F.transform("_bare", token_count), F.transform("_raw", F.length), leads, F.transform("_bare", F.length))).drop("_raw", "_bare")
 
 
 def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column | None = None) -> DataFrame:
@@ -83,10 +86,9 @@ def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column
     flat = df.select(
         "id", "source_dataset_name", "prompt", "response", "scores", *[F.col(f"meta.{k}").alias(v) for k, v in fields.items()], *[F.col(f"classification.{k}").alias(v) for k, v in labels.items()], F.coalesce(long, F.lit(False)).alias("_long")
     )
-    # one pass over all records: a record that is not cut gives one row without a chunk
-    rows = with_chunks(flat, "response", most, overlap, F.col("_long")).select("*", F.posexplode_outer("_c").alias("_k", "_p")).where("not _long or _k is not null")
-    real = F.filter("_bare", lambda s: s != "")
-    text = F.array_join(F.slice(real, F.col("_p.first") + 1, F.col("_p.last") - F.col("_p.first") + 1), " ")
+    # one pass over all records: a record that is not cut gives one row without a chunk, a cut one its chunks alone
+    cut = with_chunks(flat, "response", most, overlap, F.col("_long")).withColumn("response", F.when(~F.col("_long"), F.col("response")))
+    rows = cut.select("*", F.posexplode_outer("_c").alias("_k", "_p")).drop("_c").where("not _long or _k is not null")
     chunk_id = record_id(F.col("source_dataset_name"), F.coalesce("_m_original_id", "id"), None, F.col("_k"))
     span = F.array(F.col("_p.start"), F.col("_p.end"))
     keep = lambda new, old: F.when(F.col("_long"), new).otherwise(old)
@@ -94,7 +96,7 @@ def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column
         keep(chunk_id, F.col("id")).alias("id"),
         "source_dataset_name",
         F.when(~F.col("_long"), F.col("prompt")).alias("prompt"),
-        keep(text, F.col("response")).alias("response"),
+        keep(F.col("_p.text"), F.col("response")).alias("response"),
         F.struct(*[(keep(span, F.col(v)) if k == "char_span" else F.col(v)).alias(k) for k, v in fields.items()]).alias("meta"),
         F.struct(*[F.when(~F.col("_long"), F.col(v)).alias(k) for k, v in labels.items()]).alias("classification"),
         keep(F.create_map().cast("map<string,double>"), F.coalesce("scores", F.create_map().cast("map<string,double>"))).alias("scores"),

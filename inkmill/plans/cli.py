@@ -5,10 +5,10 @@ from __future__ import annotations
 import argparse
 import importlib
 import sys
-import warnings
 
 from pyspark.sql import SparkSession
 
+from inkmill.functions import language
 from inkmill.operators.scoring import RUBRICS
 from inkmill.plans.backend import HttpBackend, StubBackend
 from inkmill.plans.config import load_settings
@@ -27,14 +27,12 @@ def main(args: list[str] | None = None) -> int:
         p.add_argument(f"--{name}", required=True)
     p.add_argument("--stub", action="store_true", help="answer by rule instead of asking a model")
     p.add_argument("--force", action="store_true", help="run stages again that have output")
-    p.add_argument("--detector", help="module:function that gives language and probability, e.g. inkmill.llm.language_model:detect")
+    p.add_argument("--detector", help="module:function that gives language and probability, in place of the built-in detector")
     p.add_argument("--skip", nargs="*", default=[], choices=STAGES)
     p.add_argument("stages", nargs="*", default=list(STAGES))
     a = p.parse_args(args)
     settings = load_settings(a.run, a.datasets, a.rubrics)
-    detector = load_detector(a.detector) if a.detector else None
-    if detector is None and settings.filter.lang_threshold > 0:
-        warnings.warn(f"no --detector is given, so lang_id_threshold {settings.filter.lang_threshold} has no effect: records in every language pass", stacklevel=2)
+    detector = load_detector(a.detector) if a.detector else language.detect
     every = sorted({m for ms in (settings.metrics() or RUBRICS).values() for m in ms})
     backend = StubBackend(settings.genres, every) if a.stub else HttpBackend()
     spark = SparkSession.builder.appName("inkmill").getOrCreate()

@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from inkmill.functions import templates
+from inkmill.functions import language, templates
 from inkmill.functions.text import head, token_count
 from inkmill.operators import calibrate, filters, finalize, labels, ledger, prompts, scoring, segment
 from inkmill.plans.backend import Backend
@@ -31,7 +31,7 @@ class Run:
     backend: Backend
     folder: str
     force: bool = False
-    detector: Callable[[DataFrame], tuple[object, object]] | None = None
+    detector: Callable[[DataFrame], tuple[object, object]] | None = language.detect
 
     def path(self, stage: str) -> str:
         return f"{self.folder.rstrip('/')}/{stage}"

@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from inkmill.functions import templates
 from inkmill.functions.ids import record_id
+from inkmill.functions.language import language_of
 from inkmill.functions.text import clean_text, head, one_line, token_count, truncate_prompt
 from inkmill.operators import calibrate, filters, finalize, labels, ledger, prompts, scoring, segment
 from inkmill.plans.backend import StubBackend
 from inkmill.plans.config import Dataset, Settings
 from inkmill.plans.pipeline import Chain, working_folder
 from inkmill.sources import ingest, readers
+from inkmill.sources.index import first_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +36,7 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 def unique_records(df: DataFrame) -> DataFrame:
     """Each record once: of rows delivered again, the first that came in."""
-    rest = F.struct(*[c for c in df.columns if c != "id"])
-    return df.where("id is not null").groupBy("id").agg(F.min_by(rest, "ingested_at").alias("r")).select("id", "r.*")
+    return first_of(df.where("id is not null"), F.col("id"), ["ingested_at"])
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
@@ -51,8 +52,13 @@ def _records(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _lang_rows(spark: SparkSession, d: str) -> DataFrame:
-    """Documents as filter input: response, and the language that the source states."""
-    return _t(spark, d, "documents").select("doc_id", F.col("source").alias("source_dataset_name"), F.col("text").alias("response"), F.col("lang").alias("lang_detected"))
+    """Documents as filter input."""
+    return _t(spark, d, "documents").select("doc_id", F.col("source").alias("source_dataset_name"), F.col("text").alias("response"))
+
+
+def _detected() -> dict:
+    lang, probability = language_of(F.col("response"))
+    return {"lang": lang, "probability": probability}
 
 
 def _replies(spark: SparkSession, d: str, stage: str) -> DataFrame:
@@ -92,7 +98,7 @@ def _pipeline(spark: SparkSession, d: str) -> DataFrame:
     """All stages of plans/pipeline.py with the stub backend, over documents and conversations: ingest, filter, segment,
     classify, normalise, reconstruct, score, calibrate, completeness and split; counts per split and rubric.
 
-    Settings are those of production but for the chunk size. No detector is given, so the language filter is off.
+    Settings are those of production but for the chunk size; the language filter takes the core's own detector.
     """
     settings = Settings(datasets=PIPELINE_SOURCES, rubric_mapping=dict(RULES), max_chunk_tokens=CHUNK_TOKENS, sentence_overlap=OVERLAP)
     backend = StubBackend(settings.genres, sorted({m for ms in scoring.RUBRICS.values() for m in ms}))
@@ -116,12 +122,12 @@ def queries() -> dict[str, Query]:
         "record_ids": lambda s, d: _t(s, d, "documents").select("doc_id", record_id(F.lit("docs"), F.lit(None).cast("string"), F.col("text"), F.col("doc_id") % 3).alias("id")),
         "token_count": lambda s, d: _t(s, d, "documents").select("doc_id", token_count(F.col("text")).cast("bigint").alias("tokens")),
         "filter_length": lambda s, d: _t(s, d, "documents").where(filters.token_range(FILTER.min_tokens, FILTER.max_tokens, "text")).select("doc_id"),
-        "filter_language": lambda s, d: _lang_rows(s, d).where(filters.in_language(F.col("lang_detected"), F.lit(1.0), 0.9)).select("doc_id"),
+        "filter_language": lambda s, d: _lang_rows(s, d).where(filters.in_language(*language_of(F.col("response")), FILTER.lang_threshold)).select("doc_id"),
         "filter_blacklist": lambda s, d: _lang_rows(s, d).where(filters.not_blacklisted(F.col("response"), FILTER.blacklist)).select("doc_id"),
         "dedup_exact": lambda s, d: filters.deduplicate(_lang_rows(s, d), ["doc_id"]).select("doc_id", "source_dataset_name"),
         "dedup_incremental": lambda s, d: filters.deduplicate_against(_lang_rows(s, d), filters.seen_hashes(_t(s, d, "records")), ["doc_id"]).select("doc_id"),
-        "filter_chain": lambda s, d: filters.filter_chain(_lang_rows(s, d), FILTER, ["doc_id"], lang=F.col("lang_detected")).select("doc_id", "source_dataset_name"),
-        "filter_counts": lambda s, d: filters.filter_counts(_lang_rows(s, d), FILTER, lang=F.col("lang_detected")),
+        "filter_chain": lambda s, d: filters.filter_chain(_lang_rows(s, d), FILTER, ["doc_id"], **_detected()).select("doc_id", "source_dataset_name"),
+        "filter_counts": lambda s, d: filters.filter_counts(_lang_rows(s, d), FILTER, **_detected()),
         "sentences": lambda s, d: segment.sentences(_t(s, d, "documents"), "doc_id", "text").select("doc_id", F.col("n").cast("bigint").alias("n"), "sentence", F.col("tokens").cast("bigint").alias("tokens")),
         "segment_pack": lambda s, d: _chunks(s, d, 0),
         "segment_overlap": lambda s, d: _chunks(s, d, OVERLAP),
@@ -147,6 +153,7 @@ def queries() -> dict[str, Query]:
         "calibrate": lambda s, d: calibrate.calibrate(_records(s, d)).select("id", F.explode("scores").alias("metric", "score")).where(F.col("metric").endswith(calibrate.SUFFIX)).select("id", "metric", F.round("score", 7).alias("score")),
         "calibrate_degenerate": lambda s, d: calibrate.calibrate(_records(s, d).withColumn("scores", F.transform_values("scores", lambda k, v: F.when(v.isNotNull(), 0.25))), 5, 95).select("id", F.explode("scores").alias("metric", "score")).where(F.col("metric").endswith(calibrate.SUFFIX)),
         "completeness_filter": lambda s, d: calibrate.drop_incomplete(_records(s, d), calibrate.scored_rubric(), 0.7).select("id"),
+        "completeness_counts": lambda s, d: calibrate.completeness_counts(_records(s, d), calibrate.scored_rubric(), 0.7),
         "split_assign": lambda s, d: finalize.assign_splits(_records(s, d)).select("id", "split"),
         "split_report": lambda s, d: finalize.split_report(finalize.assign_splits(_records(s, d))).select("split", "records", F.round("percent", 6).alias("percent")),
         "coverage_gap": lambda s, d: calibrate.coverage(_records(s, d), labels.label_of(), 20),

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from inkmill.functions.ids import record_id
 from inkmill.functions.text import clean_text
 from inkmill.schema import to_records
-from inkmill.sources.index import with_row_index
+from inkmill.sources.index import first_of, with_row_index
 
 
 def _speaks(turn: Column, parts: tuple[str, ...]) -> Column:
@@ -56,8 +56,7 @@ def _source_id(df: DataFrame, id_column: str | None, order: list[str]) -> DataFr
 
 def first_of_id(df: DataFrame, order: list[str]) -> DataFrame:
     """One row for each source id, the first in order: a row delivered again does not count twice."""
-    rest = F.struct(*[c for c in df.columns if c != "source_id"])
-    return df.groupBy("source_id").agg(F.min_by(rest, F.struct(*order)).alias("r")).select("source_id", "r.*")
+    return first_of(df, F.col("source_id"), order)
 
 
 def ingest_conversations(df: DataFrame, name: str, *, column: str = "conversations", id_column: str = "id", order: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from inkmill.sources.index import first_of
 from inkmill.operators import calibrate, filters, finalize, labels, ledger, prompts, scoring, segment
 from inkmill.sources import ingest
 
@@ -145,8 +146,29 @@ def test_completeness(spark):
 
 def test_coverage(spark):
     df = spark.createDataFrame([({"m": 0.0},), ({"m": 0.19},), ({"m": 1.0},), ({"m": None},)], "scores map<string,double>")
-    got = {(r["level"], r["records"], r["missing"]) for r in calibrate.coverage(df, F.lit("x"), 2).collect()}
-    assert got == {(1, 2, 0), (5, 1, 1)}
+    got = {(r["level"], r["records"], r["missing"]) for r in calibrate.coverage(df, F.lit("x"), 2, metrics=["m"]).collect()}
+    assert got == {(1, 2, 0), (2, 0, 2), (3, 0, 2), (4, 0, 2), (5, 1, 1)}
+    every = calibrate.coverage(df, F.lit("x"), 2)
+    assert every.count() == 5 * (1 + len(scoring.namespaced())) and every.where("metric <> 'm' and (records <> 0 or missing <> 2)").count() == 0
+
+
+@pytest.mark.parametrize("values", [[0.1, 0.2, 0.4, 0.9], [0.5] * 9, [3.0, -1e300, 1e300, 2.0], [i / 7 for i in range(500)], [0.0] * 1000 + [1e-12 * i for i in range(40)], [5e-324, 0.0]])
+def test_percentiles_are_exact(spark, values, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(calibrate, "BUCKETS", 8)
+    df = spark.createDataFrame([({"m": v, "one": 1.0 if i == 0 else None},) for i, v in enumerate(values)], "scores map<string,double>")
+    got = calibrate.metric_percentiles(df, 5, 95, ["m", "one"]).collect()
+    low, high = np.percentile(values, [5, 95])
+    assert [r["metric"] for r in got] == ["m"] and math.isclose(got[0]["lo"], low, rel_tol=1e-9, abs_tol=1e-300) and math.isclose(got[0]["hi"], high, rel_tol=1e-9, abs_tol=1e-300)
+    assert (got[0]["least"], got[0]["most"], got[0]["n"]) == (min(values), max(values), len(values))
+
+
+def test_first_of_moves_only_repeated_rows(spark):
+    df = spark.createDataFrame([(3, "a", 1), (1, "a", 2), (2, "b", 3), (5, None, 4), (4, None, 5), (1, "a", 2)], "n int, k string, _key int")
+    got = first_of(df.select("n", "k"), F.col("k"), ["n"])
+    assert sorted((r["n"], r["k"]) for r in got.collect()) == [(1, "a"), (2, "b"), (4, None)]
+    assert first_of(df.select("n", "k").limit(0), F.col("k"), ["n"]).count() == 0
 
 
 def test_splits(spark):
