@@ -16,6 +16,8 @@ _TOKEN = re.compile(r"\n\s*|[^\W\d_]+(?:['’][^\W\d_]+)*|\d+|[^\w\s]|_")
 _TRAILING = re.compile(r"(?:\s|</?\w+[^<>]*>|[*_`#~​‌‍﻿ ])+\Z")
 _CLOSING = set("\"'”’»«)]}›‹")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»«)]*\s+|\n")
+#: An address of the web or of mail that ends a text.
+_ADDRESS = re.compile(r"(?:https?://|www\.|\S+@\w)\S*\w/?\Z")
 _OPENING = re.compile(r"(?<!\S)[\"“«»„(](?=\s?\w)")
 
 
@@ -24,6 +26,13 @@ def stripped(text: str) -> str:
     return _TRAILING.sub("", text)
 
 
+def _unpointed(text: str) -> bool:
+    """Whether it is written in three or more short lines, none of which has a mark at its end: verse or a list of names,
+    where a last line without one says nothing."""
+    lines = [line.strip() for line in text.split("\n") if line.strip()]
+    return len(lines) >= 3 and all(len(line.split()) <= 9 and (line[-1].isalnum()) for line in lines)
+
+
 def _open_mark(text: str) -> bool:
     """Whether the last sentence opens a quotation or bracket and does not close it."""
     last = _SENTENCE.split(text)[-1]
@@ -98,8 +107,11 @@ def _models() -> tuple[Counter, Counter, int, int]:
 def cut_score(text: str) -> float:
     """Log likelihood ratio of the end of a text, cut against complete; above 0 the text seems cut off.
 
-    The longest gram before the end that training saw decides; shorter ones serve as back-off.
+    The longest gram before the end that training saw decides; shorter ones serve as back-off. A text in short lines
+    without any marks, and one that ends in an address, tell nothing.
     """
+    if _unpointed(stripped(text)) or _ADDRESS.search(stripped(text)):
+        return 0.0
     whole, cut, n, m = _models()
     grams = _grams(shapes(text))
     for gram in reversed(grams):

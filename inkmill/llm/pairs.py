@@ -12,42 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.llm import endings, language_model
+from inkmill.llm.refusals import is_refusal
 from inkmill.llm.wordstream import chunks
 
 DEFECTS = ("empty", "copied", "refusal", "wrong_language", "truncated")
 _WORD = re.compile(r"[^\W_]+")
 _TAG = re.compile(r"<[^<>]*>")
-_QUOTED = re.compile(r"\"[^\"]*\"|“[^”]*”|«[^»]*»|»[^«]*«")
 #: Words that stand for a missing answer (fixed values).
 MISSING = {
     "null", "none", "nan", "nil", "na", "n a", "undefined", "empty", "blank", "missing", "no answer", "no response", "no reply", "no output", "not available", "no content", "todo", "tbd",
     "aucune réponse", "sans réponse", "pas de réponse", "vide", "keine antwort", "ohne antwort", "leer", "sin respuesta", "ninguna respuesta", "vacío",
 }
-#: What a refusal says, by language (fixed values, lower case, plain apostrophes).
-_REFUSING = re.compile(
-    "|".join(
-        [
-            r"\b(?:can't|cannot|can not|unable to|not able to|won't be able to) (?:help|assist|answer|comply|write|do|provide|create|produce|continue|fulfil|fulfill|discuss)",
-            r"\b(?:must|have to|need to) (?:decline|refuse)", r"\bi (?:decline|refuse) to", r"\bwon't be (?:answering|writing|helping)", r"\bisn't possible for me", r"\bis not possible for me", r"\boutside of what i am able", r"\brather not (?:produce|write|answer|do)", r"\bagainst my (?:guidelines|rules|policy|policies|principles)", r"\bnot allowed to (?:write|answer|help)",
-            r"\bne peux pas (?:répondre|aider|écrire)", r"\bdois (?:refuser|décliner)", r"\bm'est impossible", r"\bdépasse ce que je suis", r"\bpréfère ne pas (?:écrire|répondre|produire)", r"\bne m'est pas (?:possible|permis)", r"\bcontraire à mes (?:règles|consignes|principes)",
-            r"\bkann (?:bei dieser|dabei|ihnen|dir) [^.]*nicht helfen", r"\bkann (?:das|diesen text|diese) [^.]*nicht (?:schreiben|beantworten)", r"\bmuss (?:das|dies|leider) ablehnen", r"\bkeine antwort geben", r"\baußerhalb meiner möglichkeiten", r"\blieber nicht (?:schreiben|verfassen)", r"\bdarf (?:das|dies|diesen text|darauf|dazu) [^.]*nicht|\bdarf (?:das|dies) nicht", r"\bgegen meine (?:regeln|richtlinien)",
-            r"\bno puedo (?:ayudar|responder|escribir)", r"\bdebo (?:negarme|rechazar|declinar)", r"\bprefiero no (?:escribir|responder)", r"\bno me es posible", r"\bno (?:me está|está|tengo) permitido", r"\bcontra mis (?:normas|reglas|principios)", r"\bfuera de lo que puedo",
-        ]
-    )
-)
-#: What the other sentences of a refusal speak of: excuses, rules, offers and closings, by language (fixed values).
-_BESIDE = re.compile(
-    "|".join(
-        [
-            r"\b(?:sorry|apologi[sz]e|apolog(?:y|ies)|afraid|unfortunately|regret|request|requests|guidelines?|polic(?:y|ies)|principles|instead|happy to|glad to|let me know|feel free|thank you|thanks|(?:kind|best|warm) regards|sincerely|another (?:topic|question|task)|something else|(?:can|could) (?:gladly )?(?:help|assist)|your understanding|reach out|not appropriate|inappropriate|language model|ai assistant|as an ai)\b",
-            r"\b(?:désolée?|excusez|excuses|malheureusement|regrette|demande|règles|consignes|principes|plutôt|merci|cordialement|autre (?:sujet|question|chose)|volontiers|n'hésitez pas|compréhension)\b",
-            r"\b(?:tut mir leid|entschuldig\w*|leider|bedau[e]?re|anfrage|bitte um verständnis|verständnis|regeln|richtlinien|stattdessen|gerne?|danke|vielen dank|(?:mit|beste|viele|freundliche[n]?) (?:freundlichen )?grüße[n]?|andere[ns]? (?:thema|frage|aufgabe)|etwas anderes)\b",
-            r"\b(?:lo siento|lamento|lamentablemente|disculp\w*|perdón|petición|solicitud|normas|reglas|principios|en su lugar|en cambio|gracias|saludos|atentamente|otr[oa] (?:tema|pregunta|cosa)|con gusto|comprensión)\b",
-        ]
-    )
-)
-#: Most words of a paragraph in which any other sentence counts as a reason.
-REFUSAL_WORDS = 60
 #: Names of the languages in each of them (fixed values).
 _ASKED = {
     "en": r"english|englisch|anglais|inglés|ingles", "fr": r"french|französisch|français|francais|francés", "de": r"german|deutsch|allemand|alemán|aleman", "es": r"spanish|spanisch|espagnol|español|castellano",
@@ -64,8 +39,9 @@ _SCRIPT_NAMED = {"greek": r"ελληνικά", "cyrillic": r"русск", "hangu
 _SCRIPT_ASKED_FOR = {name: re.compile(rf"\b(?:in|into|auf|ins|en|al|to) (?:{names})\b|{_SCRIPT_NAMED.get(name, '(?!)')}", re.IGNORECASE) for name, names in _SCRIPT_ASKED.items()}
 #: Letters below which a text says too little of its script.
 LEAST_LETTERS = 6
-#: Trigrams below which a text says too little of its language, and the log odds a trigram must give on average.
-LEAST_TRIGRAMS, LEAST_ODDS = 12, 0.25
+#: Log odds that a response must give against the prompt's language: a prior for pairs in one language, which a few
+#: trigrams outweigh when they are telling, and a share for each trigram, as names and quotations speak for others.
+PRIOR_ODDS, LEAST_ODDS = 12.5, 0.25
 
 
 def is_empty(response: str) -> bool:
@@ -88,21 +64,6 @@ def is_copy(prompt: str, response: str) -> bool:
     return len(r) < 4 or sum(x in follows for x in zip(r, r[1:])) >= 0.5 * (len(r) - 1)
 
 
-def is_refusal(response: str) -> bool:
-    """Declines in its own voice and gives nothing else, at any length.
-
-    In one short paragraph a sentence beside the refusal is taken for its reason. A longer response must open with the
-    refusal, and each of its sentences must decline, excuse, point elsewhere or close.
-    """
-    own = _QUOTED.sub(" ", _TAG.sub(" ", response).replace("’", "'")).lower()
-    if not _REFUSING.search(own):
-        return False
-    if len(_WORD.findall(response)) <= REFUSAL_WORDS and not re.search(r"\n\s*\n.*\w{3}", response.strip(), re.DOTALL):
-        return True
-    said = [x for x in re.split(r"(?<=[.!?…])\s+|\n+", own) if _WORD.search(x)]
-    return any(map(_REFUSING.search, said[:3])) and all(_REFUSING.search(x) or _BESIDE.search(x) or len(_WORD.findall(x)) <= 3 for x in said)
-
-
 def asked_languages(prompt: str) -> set[str]:
     return {code for code, pattern in _ASKED_FOR.items() if pattern.search(prompt)}
 
@@ -127,10 +88,10 @@ def defects(prompts: list[str], responses: list[str]) -> list[str | None]:
     (of_prompt, np_), (of_response, nr) = language_model.log_likelihoods(prompts), language_model.log_likelihoods(responses)
     lang_p, lang_r = of_prompt.argmax(axis=1), of_response.argmax(axis=1)
     rows = np.arange(len(prompts))
-    odds = (of_response[rows, lang_r] - of_response[rows, lang_p]) / np.maximum(nr, 1)
+    odds = of_response[rows, lang_r] - of_response[rows, lang_p]
     ranked = np.sort(of_prompt, axis=1)
-    sure = (ranked[:, -1] - ranked[:, -2]) / np.maximum(np_, 1)
-    foreign = (lang_p != lang_r) & (np_ >= LEAST_TRIGRAMS) & (nr >= LEAST_TRIGRAMS) & (odds > LEAST_ODDS) & (sure > 0.05)
+    sure = ranked[:, -1] - ranked[:, -2]
+    foreign = (lang_p != lang_r) & (odds > np.maximum(PRIOR_ODDS, LEAST_ODDS * nr)) & (sure > np.maximum(1.0, 0.05 * np_))
     scripts = foreign_scripts(prompts, responses)
     out: list[str | None] = []
     for i, (prompt, response) in enumerate(zip(prompts, responses)):
