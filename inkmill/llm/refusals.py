@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import random
 import re
+import zlib
 from functools import cache
 
 import numpy as np
@@ -101,10 +102,7 @@ def features(sentence: str) -> np.ndarray:
 
 
 def _hash(name: str) -> int:
-    h = 1469598103934665603
-    for b in name.encode():
-        h = (h ^ b) * 1099511628211 & 0xFFFFFFFFFFFFFFFF
-    return (h ^ h >> 29) % SIZE
+    return zlib.crc32(name.encode()) % SIZE
 
 
 def labelled() -> tuple[list[str], list[int]]:
@@ -169,24 +167,25 @@ def weights() -> np.ndarray:
     return w
 
 
+def kind_of(sentence: str) -> int:
+    """The class of one sentence, as ``sentences`` gives it."""
+    w, f = weights(), features(sentence)
+    return int((w[f].sum(axis=0) / np.sqrt(len(f)) + w[SIZE]).argmax())
+
+
 def judged(text: str) -> list[int]:
     """The class of each sentence of a text."""
-    w = weights()
-    out = []
-    for s in sentences(text):
-        f = features(s)
-        out.append(int((w[f].sum(axis=0) / np.sqrt(len(f)) + w[SIZE]).argmax()))
-    return out
+    return [kind_of(s) for s in sentences(text)]
 
 
 def is_refusal(text: str) -> bool:
-    """Declines and gives nothing else: a sentence declines, and of the rest at most a third (counted in words, and not
-    before the first that declines but for one) says what an answer says, as a reason may."""
-    said = sentences(text)
-    kinds = judged(text)
-    if DECLINE not in kinds:
-        return False
+    """Declines and gives nothing else: a sentence declines, at most one before it says what an answer says, and of all
+    words at most a third stand in such sentences, as a reason may."""
+    said, kinds, before = sentences(text), [], 0
+    for s in said:
+        kinds.append(kind_of(s))
+        before += kinds[-1] == ANSWER
+        if before > 1 and DECLINE not in kinds:
+            return False
     size = [len(_WORD.findall(s)) for s in said]
-    first = kinds.index(DECLINE)
-    other = [n for n, k in zip(size, kinds) if k == ANSWER]
-    return sum(k == ANSWER for k in kinds[:first]) <= 1 and 3 * sum(other) <= sum(size)
+    return DECLINE in kinds and 3 * sum(n for n, k in zip(size, kinds) if k == ANSWER) <= sum(size)
