@@ -198,6 +198,12 @@ def near_duplicate_pairs(records: DataFrame, **parameters: object) -> DataFrame:
     return expand(links, members)
 
 
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """(pairs, records): how many records have so many near-duplicates."""
+    ends = pairs.select(F.col("id_a").alias("id")).unionAll(pairs.select("id_b"))
+    return ends.groupBy("id").agg(F.count("*").alias("pairs")).groupBy("pairs").agg(F.count("*").alias("records"))
+
+
 def small_sets(texts: DataFrame, words: int, most: int) -> DataFrame:
     """(text_key, n_words, seqs) as in ``sequence_sets``, of texts with 1 to ``most`` distinct sequences.
 

@@ -135,3 +135,9 @@ def defect_counts(records: DataFrame) -> DataFrame:
 
     source = records.where("id is not null").groupBy("id").agg(F.min(slug(F.col("source_dataset_name"))).alias("source"))
     return defective_pairs(records).join(source, "id").groupBy("source", "defect").agg(F.count("*").alias("records"))
+
+
+def wordless(records: DataFrame) -> DataFrame:
+    """(id): the empty responses that hold no letter or digit outside markup, from ``defective_pairs``."""
+    bare = records.where(~F.regexp_replace(F.coalesce("response", F.lit("")), "<[^<>]*>", " ").rlike(r"[\p{L}\p{N}]")).select("id").distinct()
+    return defective_pairs(records).where("defect = 'empty'").join(bare, "id", "left_semi").select("id")

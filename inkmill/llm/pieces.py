@@ -105,3 +105,15 @@ def split_oversized(records: DataFrame, limit: int = LIMIT, overlap: int = OVERL
 
     base = F.coalesce(F.try_element_at("span", F.lit(1)), F.lit(0)).cast("bigint").alias("base")
     return long_records(records, limit).select("id", "response", base).mapInArrow(run, "id string, piece bigint, text string, span_start bigint, span_end bigint, cut string")
+
+
+def cover(cut: DataFrame, records: DataFrame, limit: int = LIMIT) -> DataFrame:
+    """(id, covered, within_limit, texts_match): what the pieces of each record cover without gaps, whether each keeps to the
+    limit, and whether each is what stands at its place in the record."""
+    whole = long_records(records, limit).select("id", "response", F.coalesce(F.try_element_at("span", F.lit(1)), F.lit(0)).cast("bigint").alias("base"))
+    placed = cut.join(whole, "id").withColumn("a", F.col("span_start") - F.col("base")).withColumn("b", F.col("span_end") - F.col("base"))
+    ahead = F.expr("max(b) over (partition by id order by piece rows between unbounded preceding and 1 preceding)")
+    # a piece adds what lies beyond those before it; one that begins beyond them leaves a gap
+    placed = placed.withColumn("upto", F.coalesce(ahead, F.lit(0))).withColumn("adds", F.when(F.col("a") > F.col("upto"), F.lit(0)).otherwise(F.col("b") - F.col("upto")))
+    same = F.col("text") == F.substring(F.col("response"), (F.col("a") + 1).cast("int"), (F.col("b") - F.col("a")).cast("int"))
+    return placed.groupBy("id").agg(F.sum("adds").alias("covered"), F.min(F.length("text") <= limit).alias("within_limit"), F.min(same).alias("texts_match"))

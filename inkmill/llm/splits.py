@@ -133,3 +133,9 @@ def assign_splits(records: DataFrame, work_authors: DataFrame, proportions: dict
         split = F.coalesce(split, F.when(won, F.lit(name)))
         left -= shares[name]
     return rows.select("id", "group_key", F.coalesce(split, F.lit(names[-1])).alias("split"))
+
+
+def split_sizes(placed: DataFrame) -> DataFrame:
+    """(group_key, records, splits) of the groups of two or more records: how many splits each lies in, which must be one."""
+    sized = placed.groupBy("group_key").agg(F.count("*").alias("records"), F.min("split").alias("a"), F.max("split").alias("b"))
+    return sized.where("records > 1").select("group_key", "records", F.when(F.col("a") == F.col("b"), 1).otherwise(2).alias("splits"))

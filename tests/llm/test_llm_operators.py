@@ -226,3 +226,9 @@ def test_query_equals_sql(spark, name):
         con.sql(f"create view {f.stem} as select * from '{f}'")
     df, expected = queries()[name](spark, str(data)), con.sql(oracle_sql()[name])
     assert sorted(str(tuple(r[c] for c in expected.columns)) for r in df.collect()) == sorted(map(str, expected.fetchall()))
+
+
+def test_pieces_cover_their_records(spark):
+    rows = [record("a", "word " * 2000), record("b", "x" * 9001, span=[40, 9041]), record("c", "short"), record("d", None), record("e", "line\n\n" * 900)]
+    got = {r["id"]: tuple(r)[1:] for r in pieces.cover(pieces.split_oversized(table(spark, rows)), table(spark, rows)).collect()}
+    assert got == {"a": (10000, True, True), "b": (9001, True, True), "e": (5400, True, True)}
