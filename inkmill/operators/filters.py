@@ -64,17 +64,19 @@ def deduplicate_against(df: DataFrame, seen: DataFrame, order: Sequence[str], te
     return deduplicate(fresh, order, text)
 
 
-def filter_chain(df: DataFrame, settings: FilterSettings, order: Sequence[str], *, lang: Column | None = None, probability: Column | None = None) -> DataFrame:
+def filter_chain(df: DataFrame, settings: FilterSettings, order: Sequence[str], *, lang: Column | None = None, probability: Column | None = None, seen: DataFrame | None = None) -> DataFrame:
     """All filters; only rows that pass the others take part in the search for duplicates.
 
-    Without a detector (``lang`` null) the language filter is off. The language that passed is noted in meta.lang.
+    Without a detector (``lang`` null) the language filter is off. The language that passed is noted in meta.lang. Texts
+    whose hash is in ``seen`` (column text_hash) came in an earlier run and go.
     """
     kept = df.where(token_range(settings.min_tokens, settings.max_tokens, counter=settings.counter))
     if lang is not None and settings.lang_threshold > 0:
         kept = kept.where(in_language(lang, F.lit(1.0) if probability is None else probability, settings.lang_threshold))
         if "meta" in df.columns:
             kept = kept.withColumn("meta", F.col("meta").withField("lang", F.lit("en")))
-    return deduplicate(kept.where(not_blacklisted(F.col("response"), settings.blacklist)), order)
+    kept = kept.where(not_blacklisted(F.col("response"), settings.blacklist))
+    return deduplicate(kept, order) if seen is None else deduplicate_against(kept, seen, order)
 
 
 def filter_counts(df: DataFrame, settings: FilterSettings, *, lang: Column | None = None, probability: Column | None = None, by: str = "source_dataset_name") -> DataFrame:

@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from inkmill.functions.text import strip
+
 # The metrics of each rubric.
 _STORY = (
     "character_authenticity", "original_premise", "prose_precision", "emotional_resonance", "structural_coherence", "distinctive_voice", "thematic_depth", "sensory_atmosphere", "natural_dialogue", "earned_endings",
@@ -67,7 +69,7 @@ def route(label: Column, rules: Mapping[str, str] | Sequence[tuple[str, str]], r
 def completion(envelope: Column) -> Column:
     """The stripped content of the first choice of a chat reply; null where the envelope has none or is broken."""
     content = F.try_element_at(F.from_json(envelope, ENVELOPE)["choices"], F.lit(1))["message"]["content"]
-    return F.regexp_replace(content, r"^\s+|\s+$", "")
+    return strip(content)
 
 
 _FENCE = re.compile(r"```(?:json)?\s*(.*?)```", re.DOTALL | re.IGNORECASE)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,17 +52,21 @@ def sentences(df: DataFrame, key: str, text: str = "response") -> DataFrame:
     return body.withColumn("tokens", token_count(F.col("sentence")))
 
 
-def with_chunks(df: DataFrame, text: str, most: int, overlap: int, wanted: Column | None = None) -> DataFrame:
+def with_chunks(df: DataFrame, text: str, most: int, overlap: int, wanted: Column | None = None, counter: Callable[[list[str]], list[int]] | None = None) -> DataFrame:
     """Add _c, array<struct<start, end, text>>: the chunks of a text, each with its sentences joined by a blank.
 
     Rows that are not ``wanted`` get an empty array. Pieces are found and their tokens counted once, in a projection of
     their own; Python packs the numbers and cuts each chunk out of the text, so a text of any length is held once.
+    ``counter`` counts the tokens of sentences there, in place of the approximate count.
     """
 
     @F.pandas_udf("array<struct<start:int,end:int,text:string>>")
     def packed(texts: pd.Series, tokens: pd.Series, lengths: pd.Series, leads: pd.Series, bodies: pd.Series) -> pd.Series:
         out = []
         for t, *arrays in zip(texts, tokens, lengths, leads, bodies):
+            if counter is not None:
+                begins = [0, *itertools.accumulate(map(int, arrays[1]))]
+                arrays[0] = counter([t[b + int(lead) : b + int(lead) + int(n)] for b, lead, n in zip(begins, arrays[2], arrays[3])])
             out.append([(start, end, " ".join(t[s:e] for s, e in spans)) for start, end, spans in place(*arrays, most, overlap)])
         return pd.Series(out, dtype=object)
 
@@ -70,14 +77,17 @@ def with_chunks(df: DataFrame, text: str, most: int, overlap: int, wanted: Colum
     return cut.withColumn("_c", packed(source, F.transform("_bare", token_count), F.transform("_raw", F.length), leads, F.transform("_bare", F.length))).drop("_raw", "_bare")
 
 
-def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column | None = None) -> DataFrame:
+def segment(
+    df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column | None = None, count: Callable[[Column], Column] = token_count, counter: Callable[[list[str]], list[int]] | None = None
+) -> DataFrame:
     """Records whose response exceeds 1.1 x ``most`` tokens become one record a chunk; others pass unchanged.
 
     A chunk has its sentences joined by a blank, the span of its first to last sentence in the response, an id made
     from the original id and its number, no prompt, labels or scores. ``always`` marks rows to cut whatever their
-    length. A response without sentences gives no chunk.
+    length. A response without sentences gives no chunk. ``count`` (a column) and ``counter`` (a list of sentences) are
+    another tokenizer's counts.
     """
-    long = token_count(F.col("response")) > F.lit(most * 1.1)
+    long = count(F.col("response")) > F.lit(most * 1.1)
     if always is not None:
         long = long | F.coalesce(always, F.lit(False))
     # the fields of meta go as columns: what follows a Python function must not reach into a struct
@@ -87,7 +97,7 @@ def segment(df: DataFrame, most: int = 3800, overlap: int = 1, *, always: Column
         "id", "source_dataset_name", "prompt", "response", "scores", *[F.col(f"meta.{k}").alias(v) for k, v in fields.items()], *[F.col(f"classification.{k}").alias(v) for k, v in labels.items()], F.coalesce(long, F.lit(False)).alias("_long")
     )
     # one pass over all records: a record that is not cut gives one row without a chunk, a cut one its chunks alone
-    cut = with_chunks(flat, "response", most, overlap, F.col("_long")).withColumn("response", F.when(~F.col("_long"), F.col("response")))
+    cut = with_chunks(flat, "response", most, overlap, F.col("_long"), counter).withColumn("response", F.when(~F.col("_long"), F.col("response")))
     rows = cut.select("*", F.posexplode_outer("_c").alias("_k", "_p")).drop("_c").where("not _long or _k is not null")
     chunk_id = record_id(F.col("source_dataset_name"), F.coalesce("_m_original_id", "id"), None, F.col("_k"))
     span = F.array(F.col("_p.start"), F.col("_p.end"))

@@ -43,28 +43,46 @@ class StubBackend:
         return df.select("id", content.alias("content"))
 
 
-def call(settings: ModelSettings, request: str, *, temperature: float, max_tokens: int, sleep: Callable[[float], None] = time.sleep) -> str | None:
-    """One chat request; retried with growing pauses, null when all tries fail or the reply has no content."""
+def content_of(reply: object, chat: bool) -> str | None:
+    """The stripped answer of the first choice; null where there is none, or none that is text."""
+    choices = reply.get("choices") if isinstance(reply, dict) else None
+    first = choices[0] if isinstance(choices, list) and choices and isinstance(choices[0], dict) else {}
+    held = first.get("message") if chat else first
+    found = held.get("content" if chat else "text") if isinstance(held, dict) else None
+    return found.strip() if isinstance(found, str) else None
+
+
+def call(
+    settings: ModelSettings, request: str, *, temperature: float, max_tokens: int, stop: Sequence[str] = (), sleep: Callable[[float], None] = time.sleep
+) -> str | None:
+    """One request to a chat or completion service; retried with growing pauses.
+
+    Null when all tries fail or the reply has no text; an empty answer is one.
+    """
     key = settings.api_key or ""
     if key.startswith("ENV:"):
         key = os.environ.get(key[4:], "")
-    messages = [{"role": "user", "content": request}]
-    if "qwen3" in (settings.model_name or "").lower():
-        messages.insert(0, {"role": "system", "content": "/no_think"})
-    body = json.dumps({"model": settings.model_name, "messages": messages, "temperature": temperature, "max_tokens": max_tokens}).encode()
+    chat = settings.endpoint != "completions"
+    sent: dict[str, object] = {"model": settings.model_name, "temperature": temperature, "max_tokens": max_tokens}
+    if chat:
+        messages = [{"role": "user", "content": request}]
+        if "qwen3" in (settings.model_name or "").lower():
+            messages.insert(0, {"role": "system", "content": "/no_think"})
+        sent["messages"] = messages
+    else:
+        sent["prompt"] = request
+    if stop:
+        sent["stop"] = list(stop)
     headers = {"Content-Type": "application/json"} | ({"Authorization": f"Bearer {key}"} if key else {})
+    url = f"{(settings.api_base_url or '').rstrip('/')}/{'chat/completions' if chat else 'completions'}"
     tries = 1 + (3 if settings.max_retries is None else settings.max_retries)
     for n in range(tries):
         try:
-            url = f"{(settings.api_base_url or '').rstrip('/')}/chat/completions"
-            with urllib.request.urlopen(urllib.request.Request(url, body, headers), timeout=settings.timeout_seconds or 60) as reply:
-                found = json.loads(reply.read())
-            return str(found["choices"][0]["message"]["content"]).strip()
+            with urllib.request.urlopen(urllib.request.Request(url, json.dumps(sent).encode(), headers), timeout=settings.timeout_seconds or 60) as reply:
+                return content_of(json.loads(reply.read()), chat)
         except (urllib.error.URLError, OSError, ValueError):
             if n + 1 < tries:
                 sleep(2.0**n)
-        except (KeyError, IndexError, TypeError):
-            return None
     return None
 
 
@@ -85,6 +103,6 @@ class HttpBackend:
         def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             with ThreadPoolExecutor(threads) as pool:
                 for f in frames:
-                    yield pd.DataFrame({"id": f["id"], "content": list(pool.map(lambda r: call(settings, r, temperature=temperature, max_tokens=max_tokens), f["request"]))})
+                    yield pd.DataFrame({"id": f["id"], "content": list(pool.map(lambda r: call(settings, r, temperature=temperature, max_tokens=max_tokens, stop=settings.stop or ()), f["request"]))})
 
         return df.select("id", "request").repartition(max(1, most // threads)).mapInPandas(run, "id string, content string")

@@ -25,6 +25,12 @@ class ModelSettings:
     timeout_seconds: int | None = None
     max_retries: int | None = None
     max_concurrent_requests: int | None = None
+    endpoint: str | None = None  # chat (also where unset) or completions
+    stop: tuple[str, ...] | None = None
+
+    def __post_init__(self) -> None:
+        if self.endpoint not in (None, "chat", "completions"):
+            raise ValueError(f"unknown endpoint {self.endpoint!r}")
 
     def over(self, base: ModelSettings) -> ModelSettings:
         """These settings, with the base's where they are not set. 0 is a setting."""
@@ -39,6 +45,8 @@ class Dataset:
     type: str
     columns: Mapping[str, str] = field(default_factory=dict)
     max_items: int | str | None = None
+    config: str | None = None
+    split: str | None = None
 
     def __post_init__(self) -> None:
         if self.format not in FORMATS or self.type not in "ABC" or len(self.type) != 1:
@@ -64,9 +72,11 @@ class Settings:
     stage_models: Mapping[str, ModelSettings] = field(default_factory=dict)
     stage_model_names: Mapping[str, str] = field(default_factory=dict)
     filter: FilterSettings = FilterSettings()
+    dedup_store: str | None = None  # table of the hashes of earlier runs
     max_chunk_tokens: int = 3800
     sentence_overlap: int = 1
     segment_shape_c: bool = False
+    tokenizer: str | None = None  # a rank file; the approximate counter where unset
     prompt_most_tokens: int = 1024
     prompt_most_chars: int = 256
     genres: tuple[str, ...] = DEFAULT_GENRES
@@ -98,7 +108,10 @@ class Settings:
 
 
 def _model(raw: Mapping[str, Any] | None) -> ModelSettings:
-    return _fill(ModelSettings, raw or {})
+    held = dict(raw or {})
+    if held.get("stop") is not None:
+        held["stop"] = (held["stop"],) if isinstance(held["stop"], str) else tuple(held["stop"])
+    return _fill(ModelSettings, held)
 
 
 def _fill(kind: type, raw: Mapping[str, Any]) -> Any:
@@ -136,16 +149,18 @@ def load_settings(run: str | Path, datasets: str | Path, rubrics: str | Path) ->
     stages = {"classification": cls, "prompt_reconstruction": rec, "scoring": score}
     quotas = norm.get("quotas", {})
     return Settings(
-        datasets=tuple(Dataset(d["name"], d["path"], d["format"], d["type"], d.get("columns") or {}, d.get("max_items")) for d in listed.get("datasets", [])),
+        datasets=tuple(Dataset(d["name"], d["path"], d["format"], d["type"], d.get("columns") or {}, d.get("max_items"), d.get("hf_dataset_config"), d.get("split")) for d in listed.get("datasets", [])),
         rubrics=load_rubrics(rubrics),
         rubric_mapping=raw.get("rubric_mapping", {}),
         model=_model(raw.get("default_llm_settings")),
         stage_models={k: _model(v.get("llm_settings")) for k, v in stages.items()},
         stage_model_names={k: v["model_name"] for k, v in stages.items() if v.get("model_name")},
         filter=FilterSettings(flt.get("min_response_tokens", 10), flt.get("max_response_tokens", 4000), flt.get("lang_id_threshold", 0.9), tuple(flt.get("blacklist_regex_patterns") or ())),
+        dedup_store=flt.get("dedup_store"),
         max_chunk_tokens=seg.get("max_chunk_tokens", 3800),
         sentence_overlap=seg.get("sentence_overlap_count", 1),
         segment_shape_c=seg.get("segment_shape_c", False),
+        tokenizer=raw.get("tokenizer"),
         prompt_most_tokens=rec.get("max_response_tokens_for_reconstruction", 1024),
         prompt_most_chars=rec.get("reconstructed_prompt_max_chars", 256),
         genres=tuple(cls.get("top_level_genres_for_prompt") or DEFAULT_GENRES),

@@ -31,8 +31,8 @@ RECORD = T.StructType(
 PROMPT_TYPES = ("human", "synthetic", "reconstructed")
 
 
-def to_records(df: DataFrame, *, source_path: bool = False) -> DataFrame:
-    """Rows (id, source_dataset_name, prompt, response, prompt_type, original_id[, source_path]) as records."""
+def to_records(df: DataFrame, *, source_path: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows (id, source_dataset_name, prompt, response, prompt_type, original_id[, source_path]) as records, with the columns of ``keep``."""
     meta = F.struct(
         F.col("prompt_type").cast("string").alias("prompt_type"),
         (F.col("source_path") if source_path else F.lit(None)).cast("string").alias("source_path"),
@@ -49,4 +49,5 @@ def to_records(df: DataFrame, *, source_path: bool = False) -> DataFrame:
         meta.alias("meta"),
         empty.alias("classification"),
         F.create_map().cast(SCORES).alias("scores"),
+        *keep,
     )

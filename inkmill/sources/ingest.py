@@ -59,33 +59,36 @@ def first_of_id(df: DataFrame, order: list[str]) -> DataFrame:
     return first_of(df, F.col("source_id"), order)
 
 
-def ingest_conversations(df: DataFrame, name: str, *, column: str = "conversations", id_column: str = "id", order: list[str]) -> DataFrame:
+def ingest_conversations(df: DataFrame, name: str, *, column: str = "conversations", id_column: str = "id", order: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
     """Shape A. One record for each conversation with a usable last pair; texts stay as they are."""
     rows = first_of_id(_source_id(df, id_column, order), order).withColumn("pair", last_pair(F.col(column))).where("pair is not null")
     out = rows.select(
-        record_id(F.lit(name), F.col("source_id")).alias("id"), F.lit(name).alias("source_dataset_name"), "pair.prompt", "pair.response", F.lit("human").alias("prompt_type"), F.col("source_id").alias("original_id")
+        record_id(F.lit(name), F.col("source_id")).alias("id"), F.lit(name).alias("source_dataset_name"), "pair.prompt", "pair.response", F.lit("human").alias("prompt_type"), F.col("source_id").alias("original_id"), *keep
     )
-    return to_records(out)
+    return to_records(out, keep=keep)
 
 
-def ingest_texts(df: DataFrame, name: str, *, text_column: str = "text", id_column: str | None = None, order: list[str], path_column: str | None = None) -> DataFrame:
+def ingest_texts(df: DataFrame, name: str, *, text_column: str = "text", id_column: str | None = None, order: list[str], path_column: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Shapes B and C. One record for each text that is not empty once cleaned; without a prompt."""
-    rows = _source_id(df, id_column, order).withColumn("response", clean_text(F.col(text_column).cast("string"))).where("response <> ''")
+    # the cleaned text goes through an array of one, so it is worked out once for the filter and the projection
+    cleaned = F.explode(F.filter(F.array(clean_text(F.col(text_column).cast("string"))), lambda t: t != ""))
+    rows = _source_id(df, id_column, order).select("*", cleaned.alias("_text"))
     out = rows.select(
-        record_id(F.lit(name), F.col("source_id"), F.col("response")).alias("id"),
+        record_id(F.lit(name), F.col("source_id"), F.col("_text")).alias("id"),
         F.lit(name).alias("source_dataset_name"),
         F.lit(None).alias("prompt"),
-        "response",
+        F.col("_text").alias("response"),
         F.lit(None).alias("prompt_type"),
         F.col("source_id").alias("original_id"),
         (F.col(path_column) if path_column else F.lit(None)).cast("string").alias("source_path"),
+        *keep,
     )
-    return to_records(out, source_path=True)
+    return to_records(out, source_path=True, keep=keep)
 
 
-def ingest_files(df: DataFrame, name: str) -> DataFrame:
+def ingest_files(df: DataFrame, name: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """Shape C from a folder of text files: the file's name is the source id, its path the source path."""
-    return ingest_texts(df, name, id_column="file_name", order=["file_name"], path_column="source_path")
+    return ingest_texts(df, name, id_column="file_name", order=["file_name"], path_column="source_path", keep=keep)
 
 
 def union_records(*parts: DataFrame) -> DataFrame:

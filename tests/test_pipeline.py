@@ -2,9 +2,13 @@ import http.server
 import json
 import threading
 
+from dataclasses import replace
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
+from inkmill.functions import tokens
 from inkmill.operators import scoring
 from inkmill.operators.filters import FilterSettings
 from inkmill.plans import cli
@@ -66,6 +70,71 @@ def test_run_and_resume(spark, files):
     assert set(STAGES) == {"ingest", "filter", "segment", "classify", "normalize", "reconstruct", "score", "finalize"}
 
 
+def test_run_folder_and_failing_dataset(spark, files):
+    (files / "datasets.yaml").write_text(f"datasets:\n  - {{name: gone, path: {files}/gone.txt, format: text, type: B}}\n  - {{name: lines, path: {files}/texts.txt, format: text, type: B}}\n")
+    args = ["--run", str(files / "run.yaml"), "--datasets", str(files / "datasets.yaml"), "--rubrics", str(files / "rubrics"), "--runs", str(files / "runs"), "--stub", "ingest", "filter"]
+    assert cli.main(args) == 0
+    folder = next((files / "runs").iterdir())
+    assert folder.name.startswith("run_") and (folder / "config" / "rubrics" / "fancy.yaml").exists()
+    assert "dataset gone is left out" in (folder / "logs" / "pipeline.log").read_text()
+    kept = spark.read.parquet(f"{folder}/filter")
+    # equal texts: the first of the source stays
+    assert kept.count() == 40 and kept.where("response = 'Text number 1 is here. It says 1.'").first()["meta"]["original_id"] == "item_1"
+    (files / "run.yaml").write_text("nonsense: [")
+    assert cli.main(["--resume", str(folder), "--stub", "--clear", "filter", "--", "segment"]) == 0
+    assert not (folder / "filter").exists() and (folder / "segment" / "_SUCCESS").exists()
+    (files / "only.yaml").write_text(f"datasets:\n  - {{name: gone, path: {files}/gone.txt, format: text, type: B}}\n")
+    s = load_settings(folder / "config" / "run.yaml", files / "only.yaml", files / "rubrics")
+    with pytest.raises(RuntimeError):
+        Run(spark, s, StubBackend(s.genres, ["depth"]), str(files / "none")).stage("ingest")
+
+
+def test_store_of_earlier_runs_and_failed_answers(spark, files):
+    s = replace(load_settings(files / "run.yaml", files / "datasets.yaml", files / "rubrics"), dedup_store=str(files / "seen"))
+
+    class Flaky(StubBackend):
+        asked = []
+
+        def answer(self, df, stage, settings, **options):
+            out = super().answer(df, stage, settings, **options)
+            Flaky.asked.append(out.count())
+            return out.withColumn("content", F.when(F.lit(len(Flaky.asked) > 1) | ~F.col("id").startswith("sha256:1"), F.col("content")))
+
+    run = Run(spark, s, Flaky(s.genres, ["depth", "tone"]), str(files / "one"))
+    run.run(("ingest", "filter", "classify"))
+    unknown = run.read("classify").where("classification.top = 'unknown'").count()
+    run.force = True
+    run.stage("classify")
+    assert Flaky.asked == [40, unknown] and unknown > 0 and run.read("classify").where("classification.top = 'unknown'").count() == 0
+    again = Run(spark, s, StubBackend(s.genres, ["depth", "tone"]), str(files / "two"))
+    again.run(("ingest", "filter"))
+    assert again.read("filter").count() == 0
+
+
+def test_completions_and_missing_contents(monkeypatch):
+    from inkmill.plans.backend import content_of
+
+    assert content_of({"choices": [{"message": {"content": None}}]}, True) is None and content_of({"choices": [{"message": {"content": " a "}}]}, True) == "a"
+    assert content_of({"choices": [{"text": " b "}]}, False) == "b" and content_of({"choices": []}, False) is None and content_of([], True) is None
+    assert ModelSettings(endpoint="completions").endpoint == "completions"
+    with pytest.raises(ValueError):
+        ModelSettings(endpoint="other")
+
+
+def test_counting_by_a_public_tokenizer(spark, files):
+    path = Path("/opt/tokenizers/byte_bpe_50k.tiktoken")
+    if not path.exists():
+        pytest.skip("no vocabulary files")
+    count = tokens.counter(str(path))
+    df = spark.createDataFrame([("The ferry crossed the river.",), ("",), (None,)], "t string")
+    assert [r[0] for r in df.select(count(F.col("t"))).collect()] == [6, 0, 0]
+    s = replace(load_settings(files / "run.yaml", files / "datasets.yaml", files / "rubrics"), tokenizer=str(path), max_chunk_tokens=6)
+    run = Run(spark, s, StubBackend(s.genres, ["depth"]), str(files / "bpe"))
+    run.run(("ingest", "filter", "segment"))
+    got = run.read("segment")
+    assert got.count() == 80 and got.agg(F.max(count(F.col("response")))).first()[0] <= 7
+
+
 def test_skipped_stage_passes_its_input_on(spark, files):
     s = load_settings(files / "run.yaml", files / "datasets.yaml", files / "rubrics")
     run = Run(spark, s, StubBackend(s.genres, ["depth", "tone"]), str(files / "skip"))
