@@ -43,10 +43,11 @@ def metric_percentiles(df: DataFrame, low: float = 5, high: float = 95, metrics:
         if not open_:
             break
         spans = sorted({(m, a, b) for (m, _), (a, b, _) in open_.items()})
-        by_metric = F.create_map(*[x for m in sorted({m for m, _, _ in spans}) for x in (F.lit(m), F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b")) for i, (k, a, b) in enumerate(spans) if k == m]))])
+        by_metric = F.create_map(*[x for m in sorted({m for m, _, _ in spans}) for x in (F.lit(m), F.array(*[F.struct(F.lit(i).alias("i"), F.lit(a).alias("a"), F.lit(b).alias("b"), F.lit(0.5 if math.isinf(b - a) else 1.0).alias("k")) for i, (k, a, b) in enumerate(spans) if k == m]))])
         inside = rows.select("score", F.explode(F.try_element_at(by_metric, F.col("metric"))).alias("s")).where(F.col("score").between(F.col("s.a"), F.col("s.b")))
-        # halves keep the difference of the largest numbers finite
-        place = F.least(F.lit(BUCKETS - 1), F.floor((F.col("score") / 2 - F.col("s.a") / 2) / (F.col("s.b") / 2 - F.col("s.a") / 2) * BUCKETS)).cast("int")
+        # halves where the difference of the bounds would not be finite
+        k = F.col("s.k")
+        place = F.least(F.lit(BUCKETS - 1), F.floor((F.col("score") * k - F.col("s.a") * k) / (F.col("s.b") * k - F.col("s.a") * k) * BUCKETS)).cast("int")
         counted: dict[int, list] = {}
         for r in inside.groupBy(F.col("s.i").alias("i"), place.alias("bucket")).agg(F.count("*").alias("n"), F.min("score").alias("a"), F.max("score").alias("b")).orderBy("i", "bucket").collect():
             counted.setdefault(r["i"], []).append(r)

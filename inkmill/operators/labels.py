@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from inkmill.sources.index import checkpointed, sent
+
 # The genres offered to the classifier unless the configuration names its own.
 DEFAULT_GENRES = (
     "story_literary", "story_adventure", "story_fantasy", "story_science_fiction", "story_horror", "story_thriller", "story_mystery", "story_crime", "story_romance", "story_historical", "story_humor",
@@ -17,10 +20,8 @@ DEFAULT_GENRES = (
     "youtube_script", "review", "interactive_fiction", "rpg_scenario", "rpg_transcript", "travel_writing", "nature_writing", "food_writing", "personal_essay", "opinion_piece", "erotic_fiction", "erotic_roleplay", "other",
 )
 UNKNOWN = "unknown"
-#: Hash buckets of a class when a quota is drawn; only the bucket at the edge is ranked row by row.
-BUCKETS = 1024
-#: Most rows of (label, bucket) that are broadcast.
-MAX_SENT = 500_000
+#: Hash buckets of a class when a quota is drawn (three hexadecimal digits), and how often the one at the edge is cut again.
+BUCKETS, LEVELS = 4096, 2
 
 
 def parse_genre(reply: Column, genres: Sequence[str] = DEFAULT_GENRES) -> Column:
@@ -54,18 +55,27 @@ def sample_quota(df: DataFrame, quotas: Mapping[str, int], default: int = 5000,
     """At most the quota of each label, drawn by hash without replacement; smaller classes whole, quota 0 none.
 
     The draw takes the rows of smallest hash of seed and id, so it doesn't depend on their order. A class is cut into
-    BUCKETS by the head of the hash; buckets below the edge are taken whole after a count, and only the bucket at the
-    edge is ranked, so a class that holds most of the rows does not meet in one task. Rows with a null id never pass.
+    BUCKETS by the head of the hash; buckets below the edge are taken whole after a count, the bucket at the edge is cut
+    again by what follows, and only what is left at the last edge is ranked, a part in BUCKETS ** LEVELS of the class. Rows
+    with a null id never pass.
     """
-    hashed = df.where("id is not null").withColumn("_label", label_of(top)).withColumn("_h", F.sha2(F.concat(F.lit(seed), F.col("id")), 256))
-    hashed = hashed.withColumn("_b", F.shiftright(F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"), 12 - BUCKETS.bit_length() + 1))
-    sizes = hashed.groupBy("_label", "_b").agg(F.count("*").alias("_n"))
-    above = F.expr("sum(_n) over (partition by _label order by _b rows between unbounded preceding and current row)")
-    room = sizes.withColumn("_room", quota_of(F.col("_label"), quotas, default) - above + F.col("_n")).where("_room > 0")
-    # one row a label and bucket: sent to all tasks while there are few labels, joined by shuffle beyond
-    drawn = hashed.join(F.broadcast(room) if room.limit(MAX_SENT + 1).count() <= MAX_SENT else room, ["_label", "_b"])
-    edge = drawn.where("_room < _n").withColumn("_r", F.expr("row_number() over (partition by _label, _b order by _h, id)")).where("_r <= _room")
-    return drawn.where("_room >= _n").select(*df.columns).unionByName(edge.select(*df.columns))
+    rows = df.where("id is not null").withColumn("_label", label_of(top)).withColumn("_h", F.sha2(F.concat(F.lit(seed), F.col("id")), 256))
+    parts, rest, quota = [], rows, None
+    for level in range(LEVELS):
+        # three hexadecimal digits a level
+        rest = rest.withColumn("_b", F.conv(F.substring("_h", 1 + 3 * level, 3), 16, 10).cast("int"))
+        sizes = rest.groupBy("_label", "_b").agg(F.count("*").alias("_n"))
+        wanted = quota_of(F.col("_label"), quotas, default) if quota is None else F.col("_quota")
+        sizes = (sizes if quota is None else sizes.join(sent(quota), "_label")).withColumn("_quota", wanted.cast("bigint"))
+        upto = sizes.withColumn("_upto", F.expr("sum(_n) over (partition by _label order by _b rows between unbounded preceding and current row)"))
+        over = F.when(F.col("_upto") > F.col("_quota"), F.struct(F.col("_b").alias("edge"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("room")))
+        edge = checkpointed(upto.groupBy("_label").agg(F.min(over).alias("_e")).select("_label", F.coalesce("_e.edge", F.lit(BUCKETS)).alias("_edge"), F.coalesce("_e.room", F.lit(0).cast("bigint")).alias("_quota")))
+        # one row a label: sent to all tasks while there are few labels, joined by shuffle beyond
+        placed = rest.join(sent(edge.select("_label", "_edge")), "_label")
+        parts.append(placed.where("_b < _edge").select(*df.columns))
+        rest, quota = placed.where("_b = _edge").drop("_edge", "_b"), edge.where("_quota > 0").select("_label", "_quota")
+    last = rest.join(sent(quota), "_label").withColumn("_r", F.expr("row_number() over (partition by _label order by _h, id)")).where("_r <= _quota")
+    return reduce(DataFrame.unionByName, [*parts, last.select(*df.columns)])
 
 
 def shuffled(df: DataFrame, seed: str = "1") -> DataFrame:

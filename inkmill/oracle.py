@@ -122,10 +122,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT coalesce(classification.top, 'unknown'), metric, greatest(1, least(5, floor(score * 5)::INT + 1)), 1 FROM sc JOIN recs USING (id) WHERE score IS NOT NULL)
             SELECT top, metric, level::INT AS level, sum(records)::BIGINT AS records, greatest(0, 20 - sum(records))::BIGINT AS missing FROM cells GROUP BY 1, 2, 3""",
         "pairs_to_splits": f"WITH {convs}, kept AS (SELECT id FROM (SELECT id, response AS text FROM pairs WHERE {_tokens('response')} BETWEEN 10 AND 2000) QUALIFY {_sha1_first('id')}) SELECT split, count(*) AS records, round(count(*) * 100.0 / sum(count(*)) OVER (), 6) AS percent FROM (SELECT {_split('id')} AS split FROM kept) GROUP BY split",
-        "pipeline_e2e": f"""WITH RECURSIVE {docs}, {convs}, every AS (SELECT id, NULL AS prompt, response, 'documents:' || original_id AS key, 0 AS o FROM docs UNION ALL SELECT id, prompt, response, 'conversations:' || original_id, 1 FROM pairs),
+        "pipeline_e2e": f"""WITH RECURSIVE {docs}, {convs}, every AS (SELECT id, NULL::VARCHAR AS prompt, response, 'documents:' || original_id AS key, 0 AS o FROM docs UNION ALL SELECT id, prompt, response, 'conversations:' || original_id, 1 FROM pairs),
             kept AS (SELECT *, {_tokens('response')} AS tokens FROM every WHERE length(response) > 0 AND {_tokens('response')} BETWEEN 10 AND 4000 AND {_english('response')} QUALIFY row_number() OVER (PARTITION BY sha1(response) ORDER BY o, id) = 1),
             {carried.replace('text', 'response').replace('FROM documents WHERE response IS NOT NULL', f'FROM kept WHERE tokens > {CHUNK_TOKENS * 1.1}').replace('doc_id', 'key')},
-            cut AS (SELECT 'sha256:' || sha256(key || ':seg:' || chunk) AS id, NULL AS prompt, max(total) AS tokens FROM walk GROUP BY key, chunk UNION ALL SELECT id, prompt, tokens FROM kept WHERE tokens <= {CHUNK_TOKENS * 1.1}),
+            cut AS (SELECT 'sha256:' || sha256(key || ':seg:' || chunk) AS id, NULL::VARCHAR AS prompt, max(total) AS tokens FROM walk GROUP BY key, chunk UNION ALL SELECT id, prompt, tokens FROM kept WHERE tokens <= {CHUNK_TOKENS * 1.1}),
             told AS (SELECT *, [{', '.join(map(_quote, _GENRES))}][('0x' || substr(sha256('genre:' || id), 1, 2))::INT % {len(_GENRES)} + 1] AS low FROM cut),
             lab AS (SELECT *, {genre} AS top FROM told QUALIFY row_number() OVER (PARTITION BY {genre} ORDER BY sha256('0' || id), id) <= 5000)
             SELECT split, rubric, count(*) AS records, count(*) FILTER (coalesce(length(prompt), 0) = 0 AND tokens <= 1024) AS reconstructed FROM (SELECT *, {_split('id')} AS split, {rubric.replace('(t,', '(top,').replace(' t =', ' top =')} AS rubric FROM lab) GROUP BY 1, 2""",
