@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+
+import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,24 +23,29 @@ WORDS = {
 PRIOR = 0.03
 
 
-def language_of(text: Column) -> tuple[Column, Column]:
+_OWNER = {w: code for code, ws in WORDS.items() for w in ws}
+_WORD = regex.compile(r"\p{L}+")
+
+
+def judge(text: str | None) -> tuple[str | None, float]:
     """(language, probability): the language with the most of its own words, the first by code of several, and its share of
     all hits. No language and 0 where there is no hit; null texts too."""
-    words = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))
-    owner = F.create_map(*[F.lit(x) for code, ws in WORDS.items() for w in ws for x in (w, code)])
-    hits = F.filter(F.transform(words, lambda w: F.try_element_at(owner, w)), lambda c: c.isNotNull())
+    hits = Counter(_OWNER[w] for w in _WORD.findall((text or "").lower()) if w in _OWNER)
+    if not hits:
+        return None, 0.0
+    code = min(hits, key=lambda c: (-hits[c], c))
+    return code, (hits[code] + PRIOR) / (hits.total() + PRIOR * len(WORDS))
+
 
-    def times(own: Column, code: str) -> Column:
-        return F.size(F.filter(own, lambda c: c == code))
+def language_of(text: Column) -> tuple[Column, Column]:
+    """Columns with the language of a text and its probability, found in Arrow batches; see ``judge``."""
 
-    def judged(own: Column) -> Column:
-        counts = F.array(*[F.struct((-times(own, code)).alias("n"), F.lit(code).alias("code")) for code in sorted(WORDS)])
-        return F.struct(F.array_min(counts).alias("best"), F.size(own).alias("hits"))
+    @F.pandas_udf("struct<lang:string,probability:double>")
+    def judged(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([judge(t) for t in texts], columns=["lang", "probability"])
 
-    # an array of one, so that the hits are found once
-    found = F.transform(F.array(hits), judged)[0]
-    share = (-found["best"]["n"] + PRIOR) / (found["hits"] + PRIOR * len(WORDS))
-    return F.when(found["hits"] > 0, found["best"]["code"]), F.when(found["hits"] > 0, share).otherwise(0.0)
+    found = judged(text)
+    return found["lang"], found["probability"]
 
 
 def detect(df: DataFrame, text: str = "response") -> tuple[Column, Column]:

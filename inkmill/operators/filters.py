@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.functions.text import token_count
-from inkmill.sources.index import first_of
+from inkmill.sources.index import checkpointed, first_of
 
 
 @dataclass(frozen=True)
@@ -76,6 +76,9 @@ def filter_chain(df: DataFrame, settings: FilterSettings, order: Sequence[str],
         if "meta" in df.columns:
             kept = kept.withColumn("meta", F.col("meta").withField("lang", F.lit("en")))
     kept = kept.where(not_blacklisted(F.col("response"), settings.blacklist))
+    if lang is not None:
+        # a detector costs more than writing what passes, and the search for duplicates reads its input twice
+        kept = checkpointed(kept)
     return deduplicate(kept, order) if seen is None else deduplicate_against(kept, seen, order)
 
 
