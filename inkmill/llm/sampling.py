@@ -143,17 +143,16 @@ def drawn(rows: DataFrame, quota: DataFrame, buckets: int = BUCKETS, levels: int
     return reduce(DataFrame.unionByName, [*parts, last.select(*rows.columns)])
 
 
-def exhausted(taken: np.ndarray, held: np.ndarray, want: np.ndarray, floors: np.ndarray) -> np.ndarray:
+def exhausted(taken: np.ndarray, held: np.ndarray, want: np.ndarray) -> np.ndarray:
     """Rows that each target cell lacks even after every exchange in its favour.
 
     The repair leaves cells a little under their targets where rounding up or floors ask for more rows than there are;
-    each such cell is given rows in exchange for any other's (the last entry is what lies outside all cells) down to
-    those others' floors. What it then lacks, no exchange can give it.
+    each such cell is given rows in exchange for any other of the sample (the last entry is what lies outside all
+    cells). What it then lacks, no exchange can give it.
     """
     lacks = np.zeros(len(taken), np.int64)
     for i in np.flatnonzero(taken < want):
-        others = int(np.maximum(taken - np.minimum(floors, taken), 0).sum() - max(0, taken[i] - min(floors[i], taken[i])))
-        lacks[i] = max(0, int(want[i] - taken[i]) - min(int(held[i] - taken[i]), others))
+        lacks[i] = max(0, int(want[i] - taken[i]) - min(int(held[i] - taken[i]), int(taken.sum() - taken[i])))
     return lacks
 
 
@@ -162,7 +161,7 @@ def sample_report(records: DataFrame, targets: DataFrame, fraction: float = 0.2,
     the repair could not place in it (0 where its records suffice)."""
     rows, goals, total = _cells(records, targets)
     held, want, taken, _ = _plan(rows, goals, total, fraction, seed)
-    lacks = exhausted(taken, held, want, np.array([g["min_rows"] for g in goals] + [0], np.int64))
+    lacks = exhausted(taken, held, want)
     report = [(g["top"], g["sub"], int(h), int(w), int(t), int(x)) for g, h, w, t, x in zip(goals, held, want, taken, lacks)]
     return records.sparkSession.createDataFrame(report, "top string, sub string, held bigint, wanted bigint, taken bigint, missing bigint")
 

@@ -113,7 +113,8 @@ def test_long_runs_take_the_heap(coder):
     for n in (65, 300):
         w = "".join(r.choice("abcde") for _ in range(n)).encode()
         assert coder._heap(w) == coder._scan(w)
-    assert b"".join({v: k for k, v in coder.ranks.items()}[i] for i in coder._heap(b"ab" * 20_000)) == b"ab" * 20_000
+    tokens = {v: k for k, v in coder.ranks.items()}
+    assert b"".join(tokens[i] for i in coder._heap(b"ab" * 20_000)) == b"ab" * 20_000
 
 
 @settings(max_examples=60, deadline=None)
@@ -213,8 +214,8 @@ def test_random_draw_at_any_size():
 
 
 def test_exhausted():
-    held, want, taken, floors = np.array([3, 50, 9, 100]), np.array([5, 10, 8, 0]), np.array([2, 9, 8, 1]), np.array([5, 2, 0, 0])
-    assert sampling.exhausted(taken, held, want, floors).tolist() == [2, 0, 0, 0]
+    held, want, taken = np.array([3, 50, 9, 100]), np.array([5, 10, 8, 0]), np.array([2, 9, 8, 1])
+    assert sampling.exhausted(taken, held, want).tolist() == [2, 0, 0, 0]
 
 
 def test_fitted_weight():
