@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from inkmill.operators.scoring import DEFAULT_RUBRIC, RUBRICS, namespaced
+from inkmill.sources.index import checkpointed
 
 SUFFIX = "_calibrated"
 
@@ -26,6 +27,7 @@ def metric_percentiles(df: DataFrame, low: float = 5, high: float = 95, metrics:
     """
     keys = metrics if metrics is not None else namespaced()
     rows = df.select(F.explode("scores").alias("metric", "score")).where(F.col("score").isNotNull() & ~F.isnan("score") & F.col("metric").isin(*keys))
+    rows = checkpointed(rows)  # metric and score alone, read by each pass
     ends = [r for r in rows.groupBy("metric").agg(F.count("*").alias("n"), F.min("score").alias("least"), F.max("score").alias("most")).collect() if r["n"] >= 2]
     found: dict[tuple[str, int], float] = {}
     open_: dict[tuple[str, int], tuple[float, float, int]] = {}
